@@ -34,13 +34,11 @@ def _block_of(name: str, blocks: Column) -> Column:
     return F.pmod(F.xxhash64(name), blocks)
 
 
-def _each(first: Column, blocks: Column) -> Column:
+def _each(blocks: Column, first: int | Column = 0) -> Column:
+    first = first if isinstance(first, Column) else F.lit(first)
     return F.explode(F.sequence(first.cast("bigint"), blocks - 1))
 
 
-_ZERO = F.lit(0)
-
-
 def item_cells(
     items: DataFrame, cols: Columns, keys: list[str], block: int = BLOCK
 ) -> DataFrame:
@@ -51,8 +49,8 @@ def item_cells(
     return (
         items.where("n_items > 1")
         .withColumn("blk", _block_of(cols.item, n))
-        .withColumn("other", _each(_ZERO, n))
-        .withColumn("ok", _each(_ZERO, _blocks("n_outcomes", block)) if by_outcome else _ZERO)
+        .withColumn("other", _each(n))
+        .withColumn("ok", _each(_blocks("n_outcomes", block)) if by_outcome else F.lit(0))
         .select(
             *keys,
             F.least("blk", "other").alias("lo"),
@@ -76,8 +74,8 @@ def outcome_cells(
     return (
         outcomes.where("n_items > 1")
         .withColumn("ok", own)
-        .withColumn("lo", _each(_ZERO, n))
-        .withColumn("hi", _each(F.col("lo"), n))
+        .withColumn("lo", _each(n))
+        .withColumn("hi", _each(n, F.col("lo")))
         .select(*keys, "lo", "hi", "ok", cols.outcome, *extra)
     )
 
@@ -120,7 +118,7 @@ def _expanded(df: DataFrame, *copies: str) -> DataFrame:
 def _chunked(df: DataFrame, copies: str, chunk: str, per_chunk: int) -> DataFrame:
     """Split a row standing for many copies into rows standing for at most ``per_chunk``."""
     n = F.col(copies)
-    return df.withColumn(chunk, _each(_ZERO, F.ceil(n / per_chunk))).withColumn(
+    return df.withColumn(chunk, _each(F.ceil(n / per_chunk))).withColumn(
         copies, F.least(n - F.col(chunk) * per_chunk, F.lit(per_chunk).cast("bigint"))
     )
 
@@ -169,13 +167,13 @@ def report_drug_react(
     left = (
         join_names(items, sizes, "n_items", [cols.item, "item_chunk"], cols)
         .withColumn("ib", F.pmod(F.xxhash64(cols.item, "item_chunk"), n_item_blocks))
-        .withColumn("ob", _each(_ZERO, n_outcome_blocks))
+        .withColumn("ob", _each(n_outcome_blocks))
         .select(cols.report, "ib", "ob", cols.item, "item_copies")
     )
     right = (
         join_names(outcomes, sizes, "n_outcomes", [cols.outcome, "outcome_chunk"], cols)
         .withColumn("ob", F.pmod(F.xxhash64(cols.outcome, "outcome_chunk"), n_outcome_blocks))
-        .withColumn("ib", _each(_ZERO, n_item_blocks))
+        .withColumn("ib", _each(n_item_blocks))
         .select(cols.report, "ib", "ob", *cols.strata, cols.outcome, "outcome_copies")
     )
     joined = left.hint("merge").join(right, [cols.report, "ib", "ob"])
@@ -225,12 +223,12 @@ def item_outcome_products(
     n_item_blocks, n_outcome_blocks = _blocks("n_items", block), _blocks("n_outcomes", block)
     left = (
         items.withColumn("ib", _block_of(cols.item, n_item_blocks))
-        .withColumn("ob", _each(_ZERO, n_outcome_blocks))
+        .withColumn("ob", _each(n_outcome_blocks))
         .select(*keys, "ib", "ob", cols.item)
     )
     right = (
         outcomes.withColumn("ob", _block_of(cols.outcome, n_outcome_blocks))
-        .withColumn("ib", _each(_ZERO, n_item_blocks))
+        .withColumn("ib", _each(n_item_blocks))
         .select(*keys, "ib", "ob", cols.outcome)
     )
     return left.hint("merge").join(right, [*keys, "ib", "ob"])

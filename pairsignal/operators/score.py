@@ -7,9 +7,12 @@ code; the bound needs a root per row and runs over Arrow batches.
 from __future__ import annotations
 
 import pandas as pd
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
+from pairsignal.functions import gamma_quantile
 from pairsignal.functions.gamma_quantile import mixture_quantile
 from pairsignal.functions.special import digamma, literal, ln_gamma, ln_nb_pmf
 from pairsignal.operators.expected import min_actual_filter
@@ -22,6 +25,9 @@ CAP = 10.0
 NO_ROOT = -1.0
 STRONG = 2.0
 
+# The batch function travels with the task, so executors need no copy of this package.
+register_pickle_by_value(gamma_quantile)
+
 N, E = "CAST(actual AS DOUBLE)", "expected"
 
 
@@ -78,7 +84,7 @@ def _scale(beta: str, posterior: str) -> str:
     return f"({beta} + {E})" if posterior == "scale" else f"(1D / ({beta} + {E}))"
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _lower_bound(
     prob: pd.Series, q: pd.Series, a1: pd.Series, s1: pd.Series, lg1: pd.Series,
     a2: pd.Series, s2: pd.Series, lg2: pd.Series,

@@ -32,7 +32,7 @@ def _digits(value: str) -> dict[str, str]:
 
 
 def _holding(cells: DataFrame, targets: DataFrame, keys: list[str], cell: str) -> DataFrame:
-    """The cell that holds each target rank, and the rank within it.
+    """The cell that holds each target rank, its number of rows, and the rank within it.
 
     ``cells`` has ``keys``, ``cell`` and its number of rows ``m``.  The running sum is over
     cells, whose number per key is bounded by their bits and not by the data.
@@ -40,16 +40,17 @@ def _holding(cells: DataFrame, targets: DataFrame, keys: list[str], cell: str) -
     running = F.sum("m").over(Window.partitionBy(*keys).orderBy(cell))
     return (
         cells.withColumn("upto", running)
-        .join(targets, keys)
+        .join(targets.drop("m"), keys)
         .where((F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("m")))
         .withColumn("rank", F.col("rank") - F.col("upto") + F.col("m"))
-        .drop("upto", "m")
+        .drop("upto")
     )
 
 
-def _within(hist: DataFrame, chosen: DataFrame, keys: list[str]) -> DataFrame:
-    """Histogram rows of the chosen cells; ``chosen`` is a few rows per group."""
-    return hist.join(chosen.select(*keys).distinct(), keys, "left_semi")
+def _within(hist: DataFrame, chosen: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Histogram rows of the chosen cells, those of a large cell in parts."""
+    hot = heaviest_keys(chosen, keys, "m")
+    return join_spread(hist, chosen.select(*keys).distinct(), keys, hot, [value])
 
 
 def quantile_cuts(
@@ -96,11 +97,11 @@ def quantile_cuts(
     )
     keys = [group]
     for cell in digits:
-        inside = hist if keys == [group] else _within(hist, targets, keys)
+        inside = hist if keys == [group] else _within(hist, targets, keys, value)
         cells = inside.groupBy(*keys, cell).agg(F.sum("c").alias("m"))
         targets = _holding(cells, targets, keys, cell)
         keys = [*keys, cell]
-    last = _within(hist, targets, keys).select(*keys, value, F.col("c").alias("m"))
+    last = _within(hist, targets, keys, value).select(*keys, value, F.col("c").alias("m"))
     found = _holding(last, targets, keys, value)
     picked = found.groupBy(group).agg(
         *[F.max(F.when(F.col("i") == i, F.col(value))).alias(f"q{i}") for i in range(1, PARTS)]
