@@ -12,7 +12,7 @@ from pairsignal.operators.pairs import BLOCK, pair_outcome_products
 from pairsignal.operators.reports import ReportTables
 from pairsignal.operators.skew import heaviest_keys, join_spread
 from pairsignal.schema import Columns, DEFAULT_COLUMNS
-from pairsignal.sources.written import unwritten
+from pairsignal.sources.written import store_all, unwritten
 
 
 def pair_marginals(
@@ -88,9 +88,12 @@ def report_actual_expected(
     shuffled for its two sums only and for no join.
     """
     strata = [*cols.strata]
-    n_drug = store(drug_counts(tables.items, cols))
     n_stratum = stratum_counts(tables.reports, cols)
-    n_react = store(react_counts(tables.outcomes, cols).join(n_stratum, strata))
+    n_drug, n_react = store_all(
+        store,
+        drug_counts(tables.items, cols),
+        react_counts(tables.outcomes, cols).join(n_stratum, strata),
+    )
     items = with_marginals(tables.items, n_drug, cols.item, "n_drug", cols, min_actual)
     outcomes = with_marginals(
         tables.outcomes, n_react, cols.outcome, "n_react", cols, min_actual

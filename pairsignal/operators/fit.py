@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairsignal.functions.special import digamma, ln_nb_pmf
+from pairsignal.functions.special import digamma, literal, ln_nb_pmf
 from pairsignal.schema import MixtureParams
 from pairsignal.sources.written import written
 
@@ -196,16 +196,13 @@ def _sums(cells: DataFrame, thetas: list[tuple], nstar: int) -> dict[tuple[int,
     The thetas are one literal array, so a cell meets them without a join and the generated
     code is the same in every pass.  The result has one row per theta.
     """
-    tried = F.array(
-        *[
-            F.struct(
-                F.lit(start).alias("start"), F.lit(step).alias("step"),
-                *[F.lit(float(v)).alias(k) for k, v in zip(THETA, theta)],
-            )
-            for start, step, theta in thetas
-        ]
+    structs = ", ".join(
+        f"struct({start} AS start, {step} AS step, "
+        + ", ".join(f"{literal(v)} AS {k}" for k, v in zip(THETA, theta))
+        + ")"
+        for start, step, theta in thetas
     )
-    rows = cells.select("n", "w", "e", F.inline(tried))
+    rows = cells.selectExpr("n", "w", "e", f"inline(array({structs}))")
     scored = _score(_score(_mixed(rows, nstar), 1), 2)
     scored = scored.withColumns(
         {f"u{i}": F.expr(f"alpha{i} * da{i}") for i in (1, 2)}
@@ -240,6 +237,12 @@ def _stepped(theta: tuple, s: dict, step: float) -> tuple:
     return (*out, float(min(max(share, 1e-12), 1.0 - 1e-12)))
 
 
+def _spread(cells: DataFrame) -> DataFrame:
+    """Few cells meet many thetas: give every core some.  Large inputs are left as they are."""
+    cores = cells.sparkSession.sparkContext.defaultParallelism
+    return cells.repartition(cores) if cells.rdd.getNumPartitions() < cores else cells
+
+
 def _usable(s: dict | None) -> bool:
     return s is not None and all(v is not None and math.isfinite(v) for v in s.values())
 
@@ -266,7 +269,7 @@ def fit_starts(
     no more than ``tolerance``.
     """
     spark = cells.sparkSession
-    cells = store(cells.select("n", "w", "e"))
+    cells = _spread(store(cells.select("n", "w", "e")))
     nstar = smallest_count(cells)
     valid = {
         i: astuple(p) for i, p in enumerate(starts) if min(astuple(p)) > 0 and p.p <= 1

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pairsignal.operators.skew import heaviest_keys, join_spread
 from pairsignal.schema import Columns, DEFAULT_COLUMNS
-from pairsignal.sources.written import unwritten
+from pairsignal.sources.written import store_all, unwritten
 
 
 @dataclass(frozen=True)
@@ -84,16 +84,18 @@ def report_tables(
     ``store`` is applied to each table that is read more than once; with ``written`` each
     source is parsed once and no join is repeated.
     """
-    items = store(distinct_report_drugs(drug, cols))
-    outcomes = store(distinct_report_reacts(react, cols))
+    items, outcomes = store_all(
+        store, distinct_report_drugs(drug, cols), distinct_report_reacts(react, cols)
+    )
     n_items = items.groupBy(cols.report).agg(F.count("*").alias("n_items"))
     n_outcomes = outcomes.groupBy(cols.report).agg(F.count("*").alias("n_outcomes"))
     reports = (
         complete(demo, cols.report, *cols.strata).select(cols.report, *cols.strata).distinct()
     )
     reports = store(join_reports(join_reports(reports, n_items, cols), n_outcomes, cols))
-    return ReportTables(
-        reports,
-        store(join_names(items, reports, "n_items", [cols.item], cols)),
-        store(join_names(outcomes, reports, "n_outcomes", [cols.outcome], cols)),
+    items, outcomes = store_all(
+        store,
+        join_names(items, reports, "n_items", [cols.item], cols),
+        join_names(outcomes, reports, "n_outcomes", [cols.outcome], cols),
     )
+    return ReportTables(reports, items, outcomes)

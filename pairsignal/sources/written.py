@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,3 +36,9 @@ def written(df: DataFrame) -> DataFrame:
 
 def unwritten(df: DataFrame) -> DataFrame:
     return df
+
+
+def store_all(store: Callable[[DataFrame], DataFrame], *tables: DataFrame) -> list[DataFrame]:
+    """Store tables that do not need one another, as jobs that run at the same time."""
+    with ThreadPoolExecutor(len(tables)) as jobs:
+        return list(jobs.map(store, tables))
