@@ -51,16 +51,16 @@ def _with_params(cells: DataFrame, params: MixtureParams) -> DataFrame:
 def _terms(first: int, terms: int, alpha: str, q: str) -> tuple[str, str, str]:
     """Sums over the counts first, first + 1, ..., first + terms, as SQL nested products.
 
-    With f(k) the pmf relative to f(first), returns the sums of f(k), of f(k) (k - first)
-    and of f(k) times the change of d ln f / d alpha since ``first``.
+    With f(k) the pmf relative to f(first), returns the sums of f(k) beyond the first, of
+    f(k) (k - first) and of f(k) times the change of d ln f / d alpha since ``first``.
     """
-    total, steps, slopes = "1D", "0D", "0D"
+    beyond, steps, slopes = "0D", "0D", "0D"
     for k in reversed(range(first, first + terms)):
         ratio = f"(({alpha} + {k}D) / {k + 1}D * {q})"
-        steps = f"({ratio} * ({total} + {steps}))"
-        slopes = f"({q} / {k + 1}D * {total} + {ratio} * {slopes})"
-        total = f"(1D + {ratio} * {total})"
-    return total, steps, slopes
+        steps = f"({ratio} * (1D + {beyond} + {steps}))"
+        slopes = f"({q} / {k + 1}D * (1D + {beyond}) + {ratio} * {slopes})"
+        beyond = f"({ratio} * (1D + {beyond}))"
+    return beyond, steps, slopes
 
 
 def _component(cells: DataFrame, i: int, nstar: int) -> DataFrame:
@@ -92,20 +92,20 @@ def _component(cells: DataFrame, i: int, nstar: int) -> DataFrame:
                 f"_f0{i}": F.expr(f"exp(-{a} * {l})"),
             }
         )
-        .withColumn(f"_g{i}", F.expr(f"-expm1(-{a} * {l}) - _f0{i} * (_h0{i} - 1D)"))
+        .withColumn(f"_g{i}", F.expr(f"-expm1(-{a} * {l}) - _f0{i} * _h0{i}"))
         .withColumns(
             {
                 f"ln_g{i}": F.expr(
-                    f"CASE WHEN _tail{i} THEN ln({first}) + {nstar}D * ln({q}) - {a} * {l} + ln(_t0{i}) "
+                    f"CASE WHEN _tail{i} THEN ln({first}) + {nstar}D * ln({q}) - {a} * {l} + log1p(_t0{i}) "
                     f"ELSE ln(_g{i}) END"
                 ),
                 f"_ga{i}": F.expr(
-                    f"CASE WHEN _tail{i} THEN {at_nstar} - {l} + _ta{i} / _t0{i} "
-                    f"ELSE _f0{i} * ({l} * _h0{i} - _ha{i}) / _g{i} END"
+                    f"CASE WHEN _tail{i} THEN {at_nstar} - {l} + _ta{i} / (1D + _t0{i}) "
+                    f"ELSE _f0{i} * ({l} * (1D + _h0{i}) - _ha{i}) / _g{i} END"
                 ),
                 f"_gb{i}": F.expr(
-                    f"CASE WHEN _tail{i} THEN {by_beta} - ({nstar}D + _t1{i} / _t0{i}) / ({b} + e) "
-                    f"ELSE _f0{i} * (_h1{i} / ({b} + e) - {by_beta} * _h0{i}) / _g{i} END"
+                    f"CASE WHEN _tail{i} THEN {by_beta} - ({nstar}D + _t1{i} / (1D + _t0{i})) / ({b} + e) "
+                    f"ELSE _f0{i} * (_h1{i} / ({b} + e) - {by_beta} * (1D + _h0{i})) / _g{i} END"
                 ),
             }
         )

@@ -70,9 +70,8 @@ def test_number_of_hot_keys_is_bounded(spark):
     assert rows(hot, "k") == [(0,), (1,), (2,)]
 
 
-def test_pruning_rare_names_is_exact(skewed, monkeypatch):
+def test_pruning_rare_names_is_exact(skewed):
     demo, drug, react, *_ = skewed
-    monkeypatch.setattr(skew, "ROWS_PER_SALT", 1)
     t = reports.report_tables(demo, drug, react, COLS)
     every = rows(expected.report_actual_expected(t, COLS))
     assert rows(expected.report_actual_expected(t, COLS, min_actual=3)) == [r for r in every if r[3] >= 3]
