@@ -120,11 +120,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "parse_drug": drug,
         "parse_react": lambda s, d: lines.parse_react(fixtures.react_lines(s, d)),
         "dedupe_cases": lambda s, d: lines.dedupe_cases(demo(s, d)),
-        "report_drug_react": lambda s, d: pairs.report_drug_react(*_inputs(s, d)),
+        "report_drug_react": lambda s, d: pairs.report_drug_react(*_inputs(s, d), store=written),
         "distinct_report_drugs": lambda s, d: reports.distinct_report_drugs(drug(s, d)),
         "multi_drug_reports": lambda s, d: reports.multi_drug_reports(drug(s, d)),
         "drug_pairs": lambda s, d: pairs.drug_pairs(drug(s, d)),
-        "report_pair_react": lambda s, d: pairs.report_pair_react(*_inputs(s, d)),
+        "report_pair_react": lambda s, d: pairs.report_pair_react(*_inputs(s, d), store=written),
         "stratum_counts": lambda s, d: counts.stratum_counts(_tables(s, d, full).reports),
         "drug_counts": lambda s, d: counts.drug_counts(_tables(s, d, full).items),
         "react_counts": lambda s, d: counts.react_counts(_tables(s, d, full).outcomes),

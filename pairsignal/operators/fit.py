@@ -48,19 +48,23 @@ def _with_params(cells: DataFrame, params: MixtureParams) -> DataFrame:
     return cells.withColumns({k: F.lit(float(v)) for k, v in zip(THETA, astuple(params))})
 
 
-def _terms(first: int, terms: int, alpha: str, q: str) -> tuple[str, str, str]:
-    """Sums over the counts first, first + 1, ..., first + terms, as SQL nested products.
+def _terms(first: int, terms: int, alpha: str, q: str) -> str:
+    """Sums over the counts first, first + 1, ..., first + terms, folded from the last.
 
-    With f(k) the pmf relative to f(first), returns the sums of f(k) beyond the first, of
-    f(k) (k - first) and of f(k) times the change of d ln f / d alpha since ``first``.
+    With f(k) the pmf relative to f(first), the struct holds the sums of f(k) ``beyond`` the
+    first, of f(k) (k - first) as ``steps``, and of f(k) times the change of d ln f / d alpha
+    since the first as ``slopes``.
     """
-    beyond, steps, slopes = "0D", "0D", "0D"
-    for k in reversed(range(first, first + terms)):
-        ratio = f"(({alpha} + {k}D) / {k + 1}D * {q})"
-        steps = f"({ratio} * (1D + {beyond} + {steps}))"
-        slopes = f"({q} / {k + 1}D * (1D + {beyond}) + {ratio} * {slopes})"
-        beyond = f"({ratio} * (1D + {beyond}))"
-    return beyond, steps, slopes
+    zero = "struct(0D AS beyond, 0D AS steps, 0D AS slopes)"
+    if terms == 0:
+        return zero
+    ratio = f"(({alpha} + k) / (k + 1) * {q})"
+    fold = (
+        f"struct({ratio} * (1D + s.beyond) AS beyond, "
+        f"{ratio} * (1D + s.beyond + s.steps) AS steps, "
+        f"{q} / (k + 1) * (1D + s.beyond) + {ratio} * s.slopes AS slopes)"
+    )
+    return f"aggregate(sequence({first + terms - 1}, {first}, -1), {zero}, (s, k) -> {fold})"
 
 
 def _component(cells: DataFrame, i: int, nstar: int) -> DataFrame:
@@ -71,10 +75,10 @@ def _component(cells: DataFrame, i: int, nstar: int) -> DataFrame:
     """
     a, b, q, l = f"alpha{i}", f"beta{i}", f"_q{i}", f"_l{i}"
     small = 10.0 ** (-7.0 / nstar)
-    h0, h1, ha = _terms(0, nstar - 1, a, q)
-    t0, t1, ta = _terms(nstar, math.ceil(16 * nstar / 7), a, q)
-    first = " * ".join(f"(({a} + {k}D) / {k + 1}D)" for k in range(nstar))
-    at_nstar = " + ".join(f"1D / ({a} + {k}D)" for k in range(nstar))
+    below = _terms(0, nstar - 1, a, q)
+    above = _terms(nstar, math.ceil(16 * nstar / 7), a, q)
+    ln_first = ln_nb_pmf(f"{nstar}D", "e", a, b)
+    slope_first = f"({digamma(f'({a} + {nstar}D)')} - {digamma(a)} - {l})"
     by_beta = f"{a} * e / ({b} * ({b} + e))"
     return (
         cells.withColumns(
@@ -87,29 +91,28 @@ def _component(cells: DataFrame, i: int, nstar: int) -> DataFrame:
         .withColumns(
             {
                 f"_tail{i}": F.expr(f"{q} * greatest(1D, ({a} + {nstar}D) / {nstar + 1}D) < {small!r}D"),
-                f"_h0{i}": F.expr(h0), f"_h1{i}": F.expr(h1), f"_ha{i}": F.expr(ha),
-                f"_t0{i}": F.expr(t0), f"_t1{i}": F.expr(t1), f"_ta{i}": F.expr(ta),
                 f"_f0{i}": F.expr(f"exp(-{a} * {l})"),
             }
         )
-        .withColumn(f"_g{i}", F.expr(f"-expm1(-{a} * {l}) - _f0{i} * _h0{i}"))
+        .withColumn(f"_s{i}", F.expr(f"CASE WHEN _tail{i} THEN {above} ELSE {below} END"))
+        .withColumn(f"_g{i}", F.expr(f"-expm1(-{a} * {l}) - _f0{i} * _s{i}.beyond"))
         .withColumns(
             {
                 f"ln_g{i}": F.expr(
-                    f"CASE WHEN _tail{i} THEN ln({first}) + {nstar}D * ln({q}) - {a} * {l} + log1p(_t0{i}) "
-                    f"ELSE ln(_g{i}) END"
+                    f"CASE WHEN _tail{i} THEN {ln_first} + log1p(_s{i}.beyond) ELSE ln(_g{i}) END"
                 ),
                 f"_ga{i}": F.expr(
-                    f"CASE WHEN _tail{i} THEN {at_nstar} - {l} + _ta{i} / (1D + _t0{i}) "
-                    f"ELSE _f0{i} * ({l} * (1D + _h0{i}) - _ha{i}) / _g{i} END"
+                    f"CASE WHEN _tail{i} THEN {slope_first} + _s{i}.slopes / (1D + _s{i}.beyond) "
+                    f"ELSE _f0{i} * ({l} * (1D + _s{i}.beyond) - _s{i}.slopes) / _g{i} END"
                 ),
                 f"_gb{i}": F.expr(
-                    f"CASE WHEN _tail{i} THEN {by_beta} - ({nstar}D + _t1{i} / (1D + _t0{i})) / ({b} + e) "
-                    f"ELSE _f0{i} * (_h1{i} / ({b} + e) - {by_beta} * (1D + _h0{i})) / _g{i} END"
+                    f"CASE WHEN _tail{i} "
+                    f"THEN {by_beta} - ({nstar}D + _s{i}.steps / (1D + _s{i}.beyond)) / ({b} + e) "
+                    f"ELSE _f0{i} * (_s{i}.steps / ({b} + e) - {by_beta} * (1D + _s{i}.beyond)) / _g{i} END"
                 ),
             }
         )
-        .drop(*[f"_{c}{i}" for c in ("tail", "h0", "h1", "ha", "t0", "t1", "ta", "f0", "g", "q")])
+        .drop(*[f"_{c}{i}" for c in ("tail", "s", "f0", "g", "q")])
     )
 
 

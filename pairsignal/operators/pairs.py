@@ -10,6 +10,8 @@ dropped or counted twice.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ from pairsignal.operators.reports import (
 )
 from pairsignal.operators.skew import heaviest_keys, join_spread
 from pairsignal.schema import Columns, DEFAULT_COLUMNS
+from pairsignal.sources.written import store_all, unwritten
 
 BLOCK = 512
 COPIES = 1024
@@ -144,25 +147,28 @@ def report_drug_react(
     cols: Columns = DEFAULT_COLUMNS,
     block: int = BLOCK,
     per_chunk: int = COPIES,
+    store: Callable[[DataFrame], DataFrame] = unwritten,
 ) -> DataFrame:
     """Demographics, items and outcomes joined on the report id, repeated rows kept.
 
     Equal rows travel as one row with their number and are repeated after the join.  The
     join key adds the item and outcome blocks of the report, so no report is one task.
     """
-    items = _chunked(
-        drug.groupBy(cols.report, cols.item).agg(F.count("*").alias("item_copies")),
-        "item_copies", "item_chunk", per_chunk,
-    )
-    outcomes = _chunked(
-        _stratified_outcomes(demo, react, cols, "outcome_copies"),
-        "outcome_copies", "outcome_chunk", per_chunk,
+    copies = drug.groupBy(cols.report, cols.item).agg(F.count("*").alias("item_copies"))
+    items, outcomes = store_all(
+        store,
+        _chunked(copies, "item_copies", "item_chunk", per_chunk),
+        _chunked(
+            _stratified_outcomes(demo, react, cols, "outcome_copies"),
+            "outcome_copies", "outcome_chunk", per_chunk,
+        ),
     )
     sizes = join_reports(
         items.groupBy(cols.report).agg(F.count("*").alias("n_items")),
         outcomes.groupBy(cols.report).agg(F.count("*").alias("n_outcomes")),
         cols,
     )
+    sizes = store(sizes)
     n_item_blocks, n_outcome_blocks = _blocks("n_items", block), _blocks("n_outcomes", block)
     left = (
         join_names(items, sizes, "n_items", [cols.item, "item_chunk"], cols)
@@ -189,21 +195,27 @@ def report_pair_react(
     cols: Columns = DEFAULT_COLUMNS,
     block: int = BLOCK,
     per_chunk: int = COPIES,
+    store: Callable[[DataFrame], DataFrame] = unwritten,
 ) -> DataFrame:
     """Demographics, outcomes and item pairs joined on the report id.
 
     Pairs are distinct within a report; repeated demographic and outcome rows are kept.
     """
-    outcomes = _chunked(
-        _stratified_outcomes(demo, react, cols, "outcome_copies"),
-        "outcome_copies", "outcome_chunk", per_chunk,
+    items, outcomes = store_all(
+        store,
+        distinct_report_drugs(drug, cols),
+        _chunked(
+            _stratified_outcomes(demo, react, cols, "outcome_copies"),
+            "outcome_copies", "outcome_chunk", per_chunk,
+        ),
     )
     sizes = join_reports(
-        multi_drug_reports(drug, cols),
+        multi_drug_reports(items, cols),
         outcomes.groupBy(cols.report).agg(F.count("*").alias("n_outcomes")),
         cols,
     )
-    items = join_names(distinct_report_drugs(drug, cols), sizes, "n_items", [cols.item], cols)
+    sizes = store(sizes)
+    items = join_names(items, sizes, "n_items", [cols.item], cols)
     by = [cols.outcome, "outcome_chunk"]
     outcomes = join_names(outcomes, sizes, "n_outcomes", by, cols)
     keys = [cols.report]

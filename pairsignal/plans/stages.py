@@ -62,12 +62,12 @@ def run_counts(
     demo, drug, react = written(demo), written(drug), written(react)
     t = report_tables(demo, drug, react, cols, written)
     outputs = {
-        "strat_drugs1_reacs": report_drug_react(demo, drug, react, cols),
+        "strat_drugs1_reacs": report_drug_react(demo, drug, react, cols, store=written),
         "strat_demo_counts": stratum_counts(t.reports, cols),
         "strat_drugs_counts": drug_counts(t.items, cols),
         "strat_reacs_counts": react_counts(t.outcomes, cols),
         "strat_drugs_reacs_counts": drug_react_counts(t.items, t.outcomes, cols),
-        "strat_drugs2_reacs": report_pair_react(demo, drug, react, cols),
+        "strat_drugs2_reacs": report_pair_react(demo, drug, react, cols, store=written),
         "strat_drugs2_reacs_counts": pair_react_counts(t.items, t.outcomes, cols),
     }
     for name, df in outputs.items():

@@ -11,11 +11,11 @@ from pairsignal.sources.written import unwritten
 PLAIN = fit.PLAIN_START
 
 
-def ln_truncated(n, e, a, b, nstar):
+def ln_truncated(n, e, a, b, nstar, last=400):
     def f(k):
         return math.exp(math.lgamma(a + k) - math.lgamma(a) - math.lgamma(k + 1)
                         - k * math.log1p(b / e) - a * math.log1p(e / b))
-    tail = math.fsum(f(k) for k in range(nstar, 400))
+    tail = math.fsum(f(k) for k in range(nstar, last))
     return math.log(f(n)) - math.log(tail)
 
 
@@ -49,6 +49,14 @@ def test_gradient_by_differences(cells, params):
         assert got[f"d_{k}"] == pytest.approx((up - down) / (2 * h), rel=1e-4, abs=1e-4)
 
 
+def test_large_smallest_count(spark):
+    data = [(60 + i % 9, 1, 2.0 * 1.5**i) for i in range(12)]
+    df = spark.createDataFrame(data, "n long, w long, e double")
+    for r in fit.truncated_pmf(df, PLAIN).collect():
+        assert r["ln_fstar1"] == pytest.approx(ln_truncated(r["n"], r["e"], 0.2, 0.1, 60, 60_000), abs=1e-6)
+    assert math.isfinite(fit.mixture_gradient(df, PLAIN).first()["d_beta2"])
+
+
 def test_loglik_with_one_component(cells):
     want = sum(r["w"] * ln_truncated(r["n"], r["e"], DEFAULT_PARAMS.alpha1, DEFAULT_PARAMS.beta1, 3) for r in cells.collect())
     assert fit.mixture_loglik(cells, DEFAULT_PARAMS).first()[0] == pytest.approx(want, rel=1e-6)
