@@ -23,6 +23,11 @@ from pairsignal.schema import DEFAULT_COLUMNS, MixtureParams, YEAR_COLUMNS  # no
 from pairsignal.sources import lines  # noqa: E402
 from pairsignal.sources.written import written  # noqa: E402
 
+try:  # the folder of these operators may be absent
+    from pairsignal.llm import registry as llm
+except ModuleNotFoundError:
+    llm = None
+
 ENTRY_DIR = "/root/testdata/sf0.001"
 PLAIN = fit.PLAIN_START
 RATE = SignalConfig(cols=YEAR_COLUMNS, posterior="rate", cap=None)
@@ -182,8 +187,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "combination_filter": lambda s, d: network.combination_filter(_network(s, d)),
         "signal_nodes": lambda s, d: signal_network(_network(s, d))[0],
         "signal_edges": _edges,
+        **(llm.queries() if llm else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    return oracle.statements() | (llm.oracle_sql() if llm else {})
