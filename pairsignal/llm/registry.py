@@ -8,6 +8,7 @@ import importlib
 QUERIES = {
     "op2_minimax_shards": "sharding",
     "op4_url_filters": "url_filters",
+    "op3_ngram_join": "ngram_join",
     "op9_line_runs": "line_dedup",
 }
 
