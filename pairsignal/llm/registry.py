@@ -10,6 +10,7 @@ QUERIES = {
     "op4_url_filters": "url_filters",
     "op3_ngram_join": "ngram_join",
     "op9_line_runs": "line_dedup",
+    "op10_packing": "packing",
 }
 
 
