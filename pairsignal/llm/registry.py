@@ -9,6 +9,7 @@ QUERIES = {
     "op2_minimax_shards": "sharding",
     "op4_url_filters": "url_filters",
     "op3_ngram_join": "ngram_join",
+    "op7_substring_dedup": "substring_dedup",
     "op9_line_runs": "line_dedup",
     "op10_packing": "packing",
 }
