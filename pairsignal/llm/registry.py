@@ -6,6 +6,7 @@ import importlib
 
 # Module and function of each query; the name of the function is the query's.
 QUERIES = {
+    "op1_toxicity": "toxicity",
     "op2_minimax_shards": "sharding",
     "op4_url_filters": "url_filters",
     "op3_ngram_join": "ngram_join",
