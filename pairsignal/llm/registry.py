@@ -10,7 +10,9 @@ QUERIES = {
     "op2_minimax_shards": "sharding",
     "op4_url_filters": "url_filters",
     "op3_ngram_join": "ngram_join",
+    "op6_nra_top_k": "top_k",
     "op7_substring_dedup": "substring_dedup",
+    "op8_embedding_dedup": "embedding_dedup",
     "op9_line_runs": "line_dedup",
     "op10_packing": "packing",
 }
@@ -22,6 +24,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import url_filters
+    from . import top_k, url_filters
 
-    return {"op4_url_filters": url_filters.ORACLE}
+    return {"op4_url_filters": url_filters.ORACLE, "op6_nra_top_k": top_k.ORACLE}
