@@ -24,9 +24,10 @@ from pairsignal.sources import lines  # noqa: E402
 from pairsignal.sources.written import written  # noqa: E402
 
 try:  # the folder of these operators may be absent
+    import corpus_pipeline
     from pairsignal.llm import registry as llm
 except ModuleNotFoundError:
-    llm = None
+    llm = corpus_pipeline = None
 
 ENTRY_DIR = "/root/testdata/sf0.001"
 PLAIN = fit.PLAIN_START
@@ -187,9 +188,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "combination_filter": lambda s, d: network.combination_filter(_network(s, d)),
         "signal_nodes": lambda s, d: signal_network(_network(s, d))[0],
         "signal_edges": _edges,
-        **(llm.queries() if llm else {}),
+        **(llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements() | (llm.oracle_sql() if llm else {})
+    said = llm.oracle_sql() | {"pipeline": corpus_pipeline.ORACLE_SQL} if llm else {}
+    return oracle.statements() | {name: sql for name, sql in said.items() if sql}
