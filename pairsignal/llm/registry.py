@@ -10,6 +10,7 @@ QUERIES = {
     "op2_minimax_shards": "sharding",
     "op4_url_filters": "url_filters",
     "op3_ngram_join": "ngram_join",
+    "op5_piece_samples": "sentence_pieces",
     "op6_nra_top_k": "top_k",
     "op7_substring_dedup": "substring_dedup",
     "op8_embedding_dedup": "embedding_dedup",
