@@ -7,17 +7,19 @@
    first (document counts over the whole corpus), then the rest by value.  Two sets that link share
    a number in the first n - ceil(t n) + 1 places.  Numbers that one document alone has fill those
    places first and lead nowhere, so most documents take no further part.
-3. Classes with equal size and equal prefix are one group.  Groups that share a prefix number are
+3. The whole sets of the others are fetched by text hash, and ordered once more, now all their
+   numbers by their counts among these sets.  Places then tell how much of a set is its own.
+4. Classes with equal size and equal prefix are one group.  Groups that share a prefix number are
    filtered by size and by place: the overlap still possible after the shared place must reach what
    t asks for both sizes.  Groups that pass are expanded to their members, which are verified.
-4. Only components are asked for, so pairs are tried in two rounds.  The first tries each group
-   against the first group of every number it shares, and each member against the first of its
-   group: about as many pairs as prefix places.  The second tries all remaining pairs of groups
-   whose members are not yet in one component.  Copies by the thousand so meet one pivot instead
-   of one another, and no pair that could join two components is left out.
+5. Only components are asked for, so pairs are tried in two rounds.  The first tries each group
+   against one group of every number it shares, that with the least of its own before the number,
+   and each member against the first of its group: about as many pairs as prefix places.  The
+   second tries all remaining pairs of groups whose members are not yet in one component.  Copies
+   by the thousand so meet one pivot instead of one another, and no pair that could join two
+   components is left out.
 
-Verification intersects the two whole sets.  The candidate's texts are fetched by text hash and
-hashed again, so sets are stored for candidates only.
+Verification intersects the two whole sets.
 
 Defined cases: null or empty texts and texts without words have an empty set, n_shingles 0, no
 links, and are their own component.  Texts with fewer words than a shingle have one shingle, the
@@ -101,39 +103,37 @@ def _reachable(percent: int, n1: Column, at1: Column, n2: Column, at2: Column) -
     )
 
 
-def _candidates(summaries: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """token, node, n, place of the prefix numbers that more than one document has."""
-    own = summaries.select("uid", F.explode(F.slice("tokens", F.lit(1), F.col("ordered"))).alias("token"))
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """node, n and the prefix (place and token) of each set (node, n, ordered, tokens) whose prefix
+    holds a number that another set has; g1 and g2 are hashes of the prefix."""
+    own = sets.select("node", F.explode(F.slice("tokens", F.lit(1), F.col("ordered"))).alias("token"))
     counts = stored(own.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1"))
-    shared = own.join(counts, "token").groupBy("uid").agg(
+    shared = own.join(counts, "token").groupBy("node").agg(
         F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared")  # at most the set
     )
-    first = classes.select(F.col("node").alias("uid"))
-    per_doc = (
-        summaries.filter("n > 0").select("uid", "n", "ordered", "tokens").join(first, "uid")
-        .join(shared, "uid", "left")
-        .withColumn("shared", F.coalesce(F.col("shared.token"), F.array().cast("array<long>")))
-    )
     length = F.expr(f"CAST(n - ({percent} * CAST(n AS BIGINT) + 99) DIV 100 + 1 AS INT)")
-    alone = F.col("ordered") - F.size("shared")
     # Numbers past the ordered fraction serve only where that fraction holds too few.
     rest = F.expr("slice(tokens, ordered + 1, greatest(0, p - ordered))")
+    per_set = (
+        sets.withColumn("p", length).select("node", "n", "ordered", "p", rest.alias("rest"))
+        .join(shared, "node", "left")
+        .withColumn("shared", F.coalesce(F.col("shared.token"), F.array().cast("array<long>")))
+        .withColumn("alone", F.col("ordered") - F.size("shared"))
+    )
     prefix = F.concat(
         F.expr("transform(slice(shared, 1, greatest(0, p - alone)), (t, i) -> struct(alone + i as place, t as token))"),
-        F.transform(rest, lambda t, i: F.struct((F.col("ordered") + i).alias("place"), t.alias("token"))),
+        F.transform("rest", lambda t, i: F.struct((F.col("ordered") + i).alias("place"), t.alias("token"))),
     )
     return (
-        per_doc.withColumn("p", length).withColumn("alone", alone).withColumn("prefix", prefix)
-        .filter(F.size("prefix") > 0)
-        .select(F.col("uid").alias("node"), "n", "prefix",
-                F.xxhash64("n", "prefix").alias("g1"), F.hash("prefix").alias("g2"))
+        per_set.withColumn("prefix", prefix).filter(F.size("prefix") > 0)
+        .select("node", "n", "prefix", F.xxhash64("n", "prefix").alias("g1"), F.hash("prefix").alias("g2"))
     )
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose whole sets link."""
-    from_a = sets.select(F.col("node").alias("a"), F.col("members").alias("of_a"))
-    from_b = sets.select(F.col("node").alias("b"), F.col("members").alias("of_b"))
+    from_a = sets.select(F.col("node").alias("a"), F.col("tokens").alias("of_a"))
+    from_b = sets.select(F.col("node").alias("b"), F.col("tokens").alias("of_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,8 +141,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             last, x = None, None
             for i, (key, of_a, of_b) in enumerate(zip(batch.column("a"), batch.column("of_a"), batch.column("of_b"))):
                 if key.as_py() != last:
-                    last, x = key.as_py(), np.frombuffer(of_a.as_buffer(), np.uint64)
-                y = np.frombuffer(of_b.as_buffer(), np.uint64)
+                    last, x = key.as_py(), of_a.values.to_numpy()
+                y = of_b.values.to_numpy()
                 both = np.concatenate([x, y])
                 both.sort(kind="stable")
                 common = int((both[1:] == both[:-1]).sum())
@@ -154,18 +154,18 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _member_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """node and its set for the wanted nodes (node, t1, t2), hashed again from the texts."""
+    """node, n and tokens (the whole set) of the wanted nodes, hashed again from their texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            found = list(_sets(batch.column("text"), width))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array([u.tobytes() for u in _sets(batch.column("text"), width)], pa.binary())],
-                names=["node", "members"],
+                [batch.column("node"), pa.array([len(u) for u in found], pa.int32()), _list(found)], names=["node", "n", "tokens"]
             )
 
     texts = _text_keys(docs.select("doc_id", "text")).withColumn("did", F.coalesce("doc_id", F.lit(NO_ID)))
     found = texts.join(wanted, ["did", "t1", "t2"]).select("node", "text")
-    return found.mapInArrow(run, "node long, members binary").dropDuplicates(["node"])
+    return found.mapInArrow(run, "node long, n int, tokens array<long>").dropDuplicates(["node"])
 
 
 def linked_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -176,7 +176,11 @@ def linked_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
         keyed.mapInArrow(_summaries(width, percent), _ROWS).withColumn("uid", F.monotonically_increasing_id())
     )
     classes = stored(summaries.filter("n > 0").groupBy("s1", "s2").agg(F.min("uid").alias("node")))
-    prefixes = stored(_candidates(summaries, classes, percent))
+    firsts = summaries.filter("n > 0").withColumnRenamed("uid", "node").join(classes.select("node"), "node")
+    shared = _prefixes(firsts.select("node", "n", "ordered", "tokens"), percent).select("node")
+    keys = summaries.select(F.col("uid").alias("node"), F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), "t1", "t2")
+    sets = stored(_member_sets(docs, stored(shared.join(keys, "node")), width))
+    prefixes = stored(_prefixes(sets.withColumn("ordered", F.col("n")), percent))
     group = prefixes.groupBy("n", "g1", "g2").agg(F.min("node").alias("gid"))
     members = stored(prefixes.join(group, ["n", "g1", "g2"]).select("node", "gid", "n"))
     places = stored(
@@ -186,8 +190,8 @@ def linked_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
 
     # First round: the first group of each number, the first member of each group.
     pivots = stored(
-        places.groupBy("token").agg(F.min(F.struct("gid", "n", "place")).alias("x"), F.count("*").alias("k"))
-        .filter("k > 1").select("token", "x.*")
+        places.groupBy("token").agg(F.min(F.struct("place", "gid", "n")).alias("x"), F.count("*").alias("k"))
+        .filter("k > 1").select("token", "x.gid", "x.n", "x.place")
     ).toDF("token", "gid0", "n0", "place0")
     met = places.join(pivots, "token").filter(
         (F.col("gid") != F.col("gid0")) & _reachable(percent, F.col("n"), F.col("place"), F.col("n0"), F.col("place0"))
@@ -197,10 +201,6 @@ def linked_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
         .unionByName(members.filter("node <> gid").select(F.col("gid").alias("a"), F.col("node").alias("b")))
         .distinct()
     )
-    wanted = members.select("node").join(
-        summaries.select(F.col("uid").alias("node"), F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), "t1", "t2"), "node"
-    )
-    sets = stored(_member_sets(docs, wanted, width))
     links = stored(_verified(tried, sets, percent))
     joined = stored(connected_components(links))
 
