@@ -204,11 +204,17 @@ class _Chunk:
             most = np.maximum.reduceat(value, cut)
             total[source[own]] = most + np.log(np.add.reduceat(np.exp(value - np.repeat(most, count)), cut))
         self.logp = np.minimum(weight + total[self.dst] - total[self.src], 0.0)
-        share = np.exp(self.logp)
-        upto = np.cumsum(share)
-        at = self.first[self.src]
-        self.upto = upto - (upto - share)[at]
-        self.upto[self.first[1:][np.diff(self.first) > 0] - 1] = 2.0  # the last edge takes the rest
+        # Running sums within each node, edge by edge, so that no other text's lattice rounds them.
+        self.upto = np.exp(self.logp)
+        at, last = self.first[:-1], self.first[1:] - 1
+        at, last = at[last >= at], last[last >= at]
+        ends = last
+        while len(at):
+            on = at < last
+            at, last = at[on], last[on]
+            self.upto[at + 1] += self.upto[at]
+            at = at + 1
+        self.upto[ends] = 2.0  # the last edge takes the rest
 
     def draw(self, path: np.ndarray, place: np.ndarray, node: np.ndarray, end: np.ndarray, seeds: np.ndarray) -> None:
         """Fills ``path`` (edge by place of its first character) from the given places to the ends
@@ -283,8 +289,10 @@ def sampled(pieces: Pieces, codes: np.ndarray, starts: np.ndarray, seeds: np.nda
             whose = text_of[at]
             first = np.searchsorted(at, starts[texts])
             size = np.searchsorted(at, ends[texts]) - first
-            before = np.cumsum(lp) - lp
-            before -= np.repeat(before[first], size)
+            before = np.empty(len(lp))  # sums within each text alone, so that no neighbour rounds them
+            for a, b in zip(first.tolist(), (first + size).tolist()):
+                before[a] = 0.0
+                np.cumsum(lp[a:b - 1], out=before[a + 1:b])
             with np.errstate(divide="ignore"):
                 location = before + np.log1p(-np.minimum(np.exp(lp), 1.0))
             location[at < branch[whose]] = -np.inf
