@@ -32,7 +32,7 @@ except ModuleNotFoundError:
 ENTRY_DIR = "/root/testdata/sf0.001"
 PLAIN = fit.PLAIN_START
 RATE = SignalConfig(cols=YEAR_COLUMNS, posterior="rate", cap=None)
-SCALE = SignalConfig(cols=YEAR_COLUMNS)
+SCALE = SignalConfig(cols=YEAR_COLUMNS, posterior="scale", cap=score.CAP)
 # The network of the fixture needs weaker signals to have more than a few edges.
 NETWORK = SignalConfig(cols=YEAR_COLUMNS, posterior="rate", cap=None, min_ebci=1.0)
 
@@ -99,7 +99,7 @@ def _signals(config):
 
 
 def _network(spark, sf):
-    signals = find_signals(*_inputs(spark, sf), NETWORK)
+    signals = find_signals(*_inputs(spark, sf), NETWORK, order=False)
     # Exact-match rename to have combination products in the data.
     for item in ("drug1", "drug2"):
         combined = F.when(F.col(item) == "Brand#1", "Brand#1/Brand#2").otherwise(F.col(item))
@@ -162,7 +162,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "posterior_log_mean": _scores(score.posterior_log_mean, "delta1", "delta2"),
         "ebgm_scores": _scores(score.ebgm_scores, "ebgm"),
         "ebgm_scores_mixed": _scores(lambda t: score.ebgm_scores(t, PLAIN), "ebgm"),
-        "ebci_bounds": _scores(score.ebci_bounds, "ebci"),
+        "ebci_bounds": _scores(
+            lambda t: score.ebci_bounds(t, posterior="scale", cap=score.CAP), "ebci"
+        ),
+        "ebci_bounds_mixed": _scores(
+            lambda t: score.ebci_bounds(
+                score.ebci_bounds(t, PLAIN, "scale").withColumnRenamed("ebci", "ebci_scale"), PLAIN
+            ), "ebci_scale", "ebci",
+        ),
         "ebci_bounds_rate": _scores(
             lambda t: score.ebci_bounds(t, posterior="rate", cap=None), "ebci"
         ),

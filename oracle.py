@@ -172,6 +172,25 @@ search AS (
         FROM (SELECT *, (low + high) / 2 AS mid FROM search WHERE step < 55))),
 bound AS (SELECT actual, (low + high) / 2 AS y FROM search WHERE step = 55)"""
 
+
+def _bounds_of(out: str, scale: str) -> str:
+    """Bisection over both components of the plain mixture, step by step for each triple."""
+    part = lambda a, x: (
+        f"CASE WHEN {x} > {a} + 12 * sqrt({a}) + 60 THEN 1.0 ELSE list_sum(list_transform(range(0, 260), "
+        f"lambda k: exp(({a} + k) * ln({x}) - {x} - lgamma({a} + k + 1)))) END"
+    )
+    return f"""{out}_search AS (
+  SELECT actual, expected, q, s1, s2, 0 AS step, 0.0::DOUBLE AS low,
+    greatest((actual + {P.alpha1}) * s1, (actual + {P.alpha2}) * s2) / 0.95 AS high
+  FROM (SELECT DISTINCT actual, expected, {WEIGHT} AS q, {scale.format(b=P.beta1)} AS s1, {scale.format(b=P.beta2)} AS s2 FROM triple)
+  UNION ALL
+  SELECT actual, expected, q, s1, s2, step + 1,
+    CASE WHEN below < 0.05 THEN mid ELSE low END, CASE WHEN below < 0.05 THEN high ELSE mid END
+  FROM (SELECT *, q * {part(f"(actual + {P.alpha1})", "(mid / s1)")} + (1 - q) * {part(f"(actual + {P.alpha2})", "(mid / s2)")} AS below
+        FROM (SELECT *, (low + high) / 2 AS mid FROM {out}_search WHERE step < 40))),
+{out}_found AS (SELECT actual, expected, (low + high) / 2 AS {out} FROM {out}_search WHERE step = 40)"""
+
+
 EBGM = f"exp({_delta(D.alpha1, D.beta1)})"
 EBCI = {
     "scale": f"CASE WHEN y * ({D.beta1} + expected) > 10 THEN -1.0 ELSE y * ({D.beta1} + expected) END",
@@ -209,6 +228,9 @@ label AS (SELECT drug1 AS label FROM kept UNION SELECT drug2 FROM kept),
 node AS (SELECT row_number() OVER (ORDER BY label) - 1 AS id, label FROM label)"""
 
 
+K = "k"  # the counted number in a lambda
+
+
 def _truncated(i: int) -> dict[str, str]:
     """ln f, the sum below nstar, and the derivatives of component ``i``, written out."""
     a, b = (P.alpha1, P.beta1) if i == 1 else (P.alpha2, P.beta2)
@@ -220,8 +242,8 @@ def _truncated(i: int) -> dict[str, str]:
     g = f"(1 - {total(f_k)})"
     return {
         f"ln{i}": f"{_ln_f('n', 'e', a, b)} - ln({g})",
-        f"da{i}": f"{by_alpha('n')} + {total(f'{f_k} * {by_alpha(chr(107))}')} / {g}",
-        f"db{i}": f"{by_beta('n')} + {total(f'{f_k} * {by_beta(chr(107))}')} / {g}",
+        f"da{i}": f"{by_alpha('n')} + {total(f'{f_k} * {by_alpha(K)}')} / {g}",
+        f"db{i}": f"{by_beta('n')} + {total(f'{f_k} * {by_beta(K)}')} / {g}",
     }
 
 
@@ -313,6 +335,11 @@ def statements() -> dict[str, str]:
             f"{TRIPLES}, {QUANTILE}",
             f"SELECT {TRIPLE_COLUMNS}, round({EBCI['rate']}, 6) AS ebci FROM triple JOIN bound USING (actual)",
         ),
+        "ebci_bounds_mixed": _recursive(
+            f"{TRIPLES}, {_bounds_of('ebci_scale', '({b} + expected)')}, {_bounds_of('ebci', '(1 / ({b} + expected))')}",
+            f"SELECT {TRIPLE_COLUMNS}, round(ebci_scale, 6) AS ebci_scale, round(ebci, 6) AS ebci "
+            "FROM triple JOIN ebci_scale_found USING (actual, expected) JOIN ebci_found USING (actual, expected)",
+        ),
         "rrr": scores("rrr", "actual / expected"),
         "scored_signals": _recursive(_scored("scale", 2.0), "SELECT * FROM signal"),
         "scored_signals_rate": _recursive(_scored("rate", 2.0), "SELECT * FROM signal"),

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 
+# From this shape on the series and the fraction need many terms, and the density is a narrow peak.
 LARGE_SHAPE = 200.0
+REACH = 12.0  # standard deviations beyond which a large shape has no mass in double precision
+MOST_TERMS = 10_000
 _NODES, _WEIGHTS = np.polynomial.legendre.leggauss(80)
 
 
@@ -13,12 +16,13 @@ def _series(a, x, front):
     term = 1.0 / a
     total = term.copy()
     k = a.copy()
-    while True:
+    for _ in range(MOST_TERMS):
         k += 1.0
         term = term * x / k
         total += term
         if np.all(term <= total * 1e-16):
             return total * front
+    raise ArithmeticError("the series of the incomplete gamma function did not converge")
 
 
 def _fraction(a, x, front):
@@ -27,7 +31,7 @@ def _fraction(a, x, front):
     c = np.full_like(x, 1e300)
     d = 1.0 / b
     h = d.copy()
-    for i in range(1, 10_000):
+    for i in range(1, MOST_TERMS):
         an = -i * (i - a)
         b = b + 2.0
         d = an * d + b
@@ -37,18 +41,21 @@ def _fraction(a, x, front):
         step = d * c
         h = h * step
         if np.all(np.abs(step - 1.0) < 1e-15):
-            break
-    return h * front
+            return h * front
+    raise ArithmeticError("the fraction of the incomplete gamma function did not converge")
 
 
 def _by_quadrature(a, x, ln_gamma_a):
-    """Integral of the density up to x from where it is negligible, for a large shape."""
-    low = np.maximum(0.0, a - 12.0 * np.sqrt(a))
-    half = 0.5 * np.maximum(x - low, 0.0)
+    """Integral of the density up to x between the places where it is negligible, for a large shape.
+
+    The nodes are spread over at most 2 * REACH standard deviations, however far x lies beyond."""
+    low = np.maximum(0.0, a - REACH * np.sqrt(a))
+    high = a + REACH * np.sqrt(a)
+    half = 0.5 * np.maximum(np.minimum(x, high) - low, 0.0)
     t = np.maximum(low[:, None] + half[:, None] * (_NODES + 1.0), 1e-300)
     a_, lg = a[:, None], ln_gamma_a[:, None]
     density = np.exp((a_ - 1.0) * np.log(t) - t - lg)
-    return np.minimum(half * (density @ _WEIGHTS), 1.0)
+    return np.where(x >= high, 1.0, np.minimum(half * (density @ _WEIGHTS), 1.0))
 
 
 def gamma_cdf(a, x, ln_gamma_a):
@@ -73,7 +80,7 @@ def mixture_quantile(prob, q, a1, s1, lg1, a2, s2, lg2, steps=200):
 
     ``q`` is the weight of the first gamma; ``a``, ``s`` and ``lg`` are shape, scale and
     ln gamma(shape).  By Markov's inequality the answer is at most the larger mean over
-    (1 - prob), which gives the first bracket.
+    (1 - prob), which gives the first bracket.  Rows with a number that is not finite give NaN.
     """
 
     def density(a, s, lg, v):
@@ -84,7 +91,9 @@ def mixture_quantile(prob, q, a1, s1, lg1, a2, s2, lg2, steps=200):
     mean1, mean2 = np.where(q > 0, a1 * s1, 0.0), np.where(q < 1, a2 * s2, 0.0)
     high = np.maximum(mean1, mean2) / (1.0 - prob)
     value = 0.5 * high
-    open_ = np.arange(len(q))
+    numbers = (q, a1, s1, lg1, a2, s2, lg2)
+    open_ = np.flatnonzero(np.all([np.isfinite(c) for c in numbers], axis=0) & (high > 0))
+    value[~np.isin(np.arange(len(q)), open_)] = np.nan
     for _ in range(steps):
         if not len(open_):
             break
@@ -105,4 +114,6 @@ def mixture_quantile(prob, q, a1, s1, lg1, a2, s2, lg2, steps=200):
         value[i] = step
         done = (np.abs(step - v) <= 1e-13 * np.abs(step)) | (high[i] - low[i] <= 1e-14 * high[i])
         open_ = i[~done]
+    if len(open_):
+        raise ArithmeticError(f"{len(open_)} quantiles did not converge in {steps} steps")
     return value

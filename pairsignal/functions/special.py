@@ -10,20 +10,15 @@ from __future__ import annotations
 SHIFT = 10
 
 # Coefficients of the asymptotic series in 1/z.
-LN_GAMMA_SERIES = ("1/12", "-1/360", "1/1260", "-1/1680", "1/1188", "-691/360360")
-DIGAMMA_SERIES = ("-1/12", "1/120", "-1/252", "1/240", "-1/132", "691/32760")
+LN_GAMMA_SERIES = (1 / 12, -1 / 360, 1 / 1260, -1 / 1680, 1 / 1188, -691 / 360360)
+DIGAMMA_SERIES = (-1 / 12, 1 / 120, -1 / 252, 1 / 240, -1 / 132, 691 / 32760)
 HALF_LN_2PI = 0.9189385332046728
 
 
-def _number(fraction: str) -> float:
-    top, bottom = fraction.split("/")
-    return int(top) / int(bottom)
-
-
-def _horner(coefficients: tuple[str, ...], x: str) -> str:
+def _horner(coefficients: tuple[float, ...], x: str) -> str:
     sql = "0D"
     for c in reversed(coefficients):
-        sql = f"({_number(c)!r}D + {x} * {sql})"
+        sql = f"({c!r}D + {x} * {sql})"
     return sql
 
 
@@ -35,6 +30,19 @@ def ln_gamma(x: str) -> str:
     return f"(({z} - 0.5D) * ln({z}) - {z} + {HALF_LN_2PI!r}D + {series} - ln({product}))"
 
 
+def ln_gamma_rise(x: str, n: str) -> str:
+    """ln gamma(x + n) - ln gamma(x) without the loss of digits that a difference of two large
+    logarithms has where x is much larger than n."""
+    z = f"({x} + {SHIFT}D)"
+    top = f"({z} + {n})"
+    series = [f"{_horner(LN_GAMMA_SERIES, f'(1D / ({t} * {t}))')} / {t}" for t in (top, z)]
+    ratio = " * ".join(f"(1D + {n} / ({x} + {k}D))" for k in range(SHIFT))
+    return (
+        f"(({top} - 0.5D) * log1p({n} / {z}) - {n} + {n} * ln({z})"
+        f" + ({series[0]} - {series[1]}) - ln({ratio}))"
+    )
+
+
 def digamma(x: str) -> str:
     """Derivative of ln gamma, by the same shift."""
     z = f"({x} + {SHIFT}D)"
@@ -47,7 +55,7 @@ def ln_nb_pmf(n: str, e: str, alpha: str, beta: str) -> str:
     """Log probability of count ``n`` at exposure ``e`` under one gamma component."""
     return (
         f"(-{n} * log1p({beta} / {e}) - {alpha} * log1p({e} / {beta})"
-        f" + {ln_gamma(f'({alpha} + {n})')} - {ln_gamma(alpha)} - {ln_gamma(f'({n} + 1D)')})"
+        f" + {ln_gamma_rise(alpha, n)} - {ln_gamma(f'({n} + 1D)')})"
     )
 
 

@@ -6,6 +6,8 @@ code; the bound needs a root per row and runs over Arrow batches.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, DataFrame
@@ -17,6 +19,7 @@ from pairsignal.functions.gamma_quantile import mixture_quantile
 from pairsignal.functions.special import digamma, literal, ln_gamma, ln_nb_pmf
 from pairsignal.operators.expected import min_actual_filter
 from pairsignal.schema import DEFAULT_PARAMS, MixtureParams
+from pairsignal.sources.written import unwritten
 
 # Tail probability, search limit and failure mark of the lower bound, and the
 # limit of a strong signal.
@@ -69,12 +72,15 @@ def posterior_log_mean(triples: DataFrame, params: MixtureParams = DEFAULT_PARAM
     return triples.withColumns(deltas)
 
 
+def _with_ebgm(weighted: DataFrame, params: MixtureParams) -> DataFrame:
+    """Add ``ebgm`` to triples that have ``q``."""
+    scored = posterior_log_mean(weighted, params)
+    return scored.withColumn("ebgm", F.expr("exp(q * delta1 + (1D - q) * delta2)")).drop("delta1", "delta2")
+
+
 def ebgm_scores(triples: DataFrame, params: MixtureParams = DEFAULT_PARAMS) -> DataFrame:
     """Empirical Bayes geometric mean."""
-    scored = posterior_log_mean(posterior_weight(triples, params), params)
-    return scored.withColumn("ebgm", F.expr("exp(q * delta1 + (1D - q) * delta2)")).drop(
-        "q", "delta1", "delta2"
-    )
+    return _with_ebgm(posterior_weight(triples, params), params).drop("q")
 
 
 def _scale(beta: str, posterior: str) -> str:
@@ -84,7 +90,6 @@ def _scale(beta: str, posterior: str) -> str:
     return f"({beta} + {E})" if posterior == "scale" else f"(1D / ({beta} + {E}))"
 
 
-@F.pandas_udf(DoubleType())
 def _lower_bound(
     prob: pd.Series, q: pd.Series, a1: pd.Series, s1: pd.Series, lg1: pd.Series,
     a2: pd.Series, s2: pd.Series, lg2: pd.Series,
@@ -93,37 +98,47 @@ def _lower_bound(
     return pd.Series(mixture_quantile(float(prob.iloc[0]) if len(prob) else TAIL, *parts))
 
 
+# Called non-deterministic so that a later filter on the bound is not pushed below it, which would
+# search each kept row's root twice.
+_lower_bound = F.pandas_udf(_lower_bound, DoubleType()).asNondeterministic()
+
+
 def _posterior(params: MixtureParams, posterior: str, which: int) -> list[Column]:
     alpha, beta = _component(params, which)
     shape = f"({alpha} + {N})"
     return [F.expr(shape), F.expr(_scale(beta, posterior)), F.expr(ln_gamma(shape))]
 
 
+def _with_ebci(
+    weighted: DataFrame, params: MixtureParams, posterior: str, cap: float | None, tail: float
+) -> DataFrame:
+    """Add ``ebci`` to triples that have ``q``."""
+    gammas = [*_posterior(params, posterior, 1), *_posterior(params, posterior, 2)]
+    scored = weighted.withColumn("ebci", _lower_bound(F.lit(tail), F.col("q"), *gammas))
+    if cap is None:
+        return scored
+    return scored.withColumn(
+        "ebci", F.when(F.col("ebci") > cap, NO_ROOT).otherwise(F.col("ebci"))
+    )
+
+
 def ebci_bounds(
     triples: DataFrame,
     params: MixtureParams = DEFAULT_PARAMS,
-    posterior: str = "scale",
-    cap: float | None = CAP,
+    posterior: str = "rate",
+    cap: float | None = None,
     tail: float = TAIL,
 ) -> DataFrame:
     """Lower bound ``ebci``: the value with probability ``tail`` below it.
 
-    ``posterior="scale"`` with a cap gives the shipped behaviour (above the cap: -1);
-    ``"rate"`` without a cap gives the gamma-Poisson posterior.
+    ``"rate"`` without a cap is the gamma-Poisson posterior; ``posterior="scale"`` with
+    ``cap=CAP`` gives the shipped behaviour (above the cap: -1).
     """
-    weighted = posterior_weight(triples, params)
-    gammas = [*_posterior(params, posterior, 1), *_posterior(params, posterior, 2)]
-    bound = _lower_bound(F.lit(tail), F.col("q"), *gammas)
-    scored = weighted.withColumn("ebci", bound).drop("q")
-    if cap is None:
-        return scored
-    return scored.withColumn(
-        "ebci", F.when(F.col("ebci") > cap, NO_ROOT).otherwise(F.col("ebci"))
-    )
+    return _with_ebci(posterior_weight(triples, params), params, posterior, cap, tail).drop("q")
 
 
 def _may_reach(
-    triples: DataFrame, params: MixtureParams, posterior: str, limit: float, tail: float
+    weighted: DataFrame, params: MixtureParams, posterior: str, limit: float, tail: float
 ) -> DataFrame:
     """Drop triples whose lower bound cannot reach ``limit``, before any root is searched.
 
@@ -133,28 +148,29 @@ def _may_reach(
     mean1 = f"({a1} + {N}) * {_scale(b1, posterior)}"
     mean2 = f"({a2} + {N}) * {_scale(b2, posterior)}"
     mean = F.expr(f"q * {mean1} + (1D - q) * {mean2}")
-    floor = limit * (1.0 - tail) * (1.0 - 1e-9)
-    return posterior_weight(triples, params).where(mean >= floor).drop("q")
+    return weighted.where(mean >= limit * (1.0 - tail) * (1.0 - 1e-9))
 
 
 def scored_signals(
     triples: DataFrame,
     params: MixtureParams = DEFAULT_PARAMS,
     min_actual: int = 3,
-    posterior: str = "scale",
-    cap: float | None = CAP,
+    posterior: str = "rate",
+    cap: float | None = None,
     min_ebci: float = STRONG,
     order: bool = True,
+    store: Callable[[DataFrame], DataFrame] = unwritten,
 ) -> DataFrame:
     """Strong signals with all scores, best ``ebgm`` first (ties by name).
 
-    The order is global over a range shuffle; nothing is gathered into one partition.
+    The order is global over a range shuffle; nothing is gathered into one partition.  The range
+    sort reads its input twice, so with ``store=written`` the survivors are stored first.
     """
-    kept = _may_reach(min_actual_filter(triples, min_actual), params, posterior, min_ebci, TAIL)
-    names = kept.columns
-    scored = ebci_bounds(ebgm_scores(rrr(kept), params), params, posterior, cap)
-    scored = scored.where(F.col("ebci") >= min_ebci).select(*names, "rrr", "ebgm", "ebci")
+    weighted = posterior_weight(min_actual_filter(triples, min_actual), params)
+    kept = _may_reach(weighted, params, posterior, min_ebci, TAIL)
+    scored = _with_ebci(_with_ebgm(rrr(kept), params), params, posterior, cap, TAIL)
+    scored = scored.where(F.col("ebci") >= min_ebci).select(*triples.columns, "rrr", "ebgm", "ebci")
     if order:
-        ties = [c for c in names if c not in ("actual", "expected")]
-        scored = scored.orderBy(F.desc("ebgm"), *ties)
+        ties = [c for c in triples.columns if c not in ("actual", "expected")]
+        scored = store(scored).orderBy(F.desc("ebgm"), *ties)
     return scored

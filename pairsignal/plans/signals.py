@@ -11,7 +11,7 @@ from pairsignal.operators.expected import report_actual_expected
 from pairsignal.operators.fit import fit_input, fit_mixture_multistart, fitted_params
 from pairsignal.operators.network import combination_filter, signal_edges, signal_nodes
 from pairsignal.operators.reports import report_tables
-from pairsignal.operators.score import CAP, STRONG, scored_signals
+from pairsignal.operators.score import STRONG, scored_signals
 from pairsignal.operators.squash import binned_expected, quantile_cuts, squashed_stats
 from pairsignal.schema import Columns, DEFAULT_COLUMNS, DEFAULT_PARAMS, MixtureParams
 from pairsignal.sources.written import written
@@ -19,13 +19,17 @@ from pairsignal.sources.written import written
 
 @dataclass(frozen=True)
 class SignalConfig:
-    """What to look for.  ``params="fit"`` fits the mixture to the data first."""
+    """What to look for.  ``params="fit"`` fits the mixture to the data first.
+
+    ``posterior="scale"`` with ``cap=CAP`` is the shipped behaviour, which marks the strongest
+    signals -1 and so loses them; the default keeps them.
+    """
 
     cols: Columns = DEFAULT_COLUMNS
     min_actual: int = 3
     params: MixtureParams | str = DEFAULT_PARAMS
-    posterior: str = "scale"
-    cap: float | None = CAP
+    posterior: str = "rate"
+    cap: float | None = None
     min_ebci: float = STRONG
 
 
@@ -61,14 +65,15 @@ def find_signals(
     react: DataFrame,
     config: SignalConfig = SignalConfig(),
     store: Callable[[DataFrame], DataFrame] = written,
+    order: bool = True,
 ) -> DataFrame:
-    """Ranked strong signals.  ``demo`` has one row per case."""
+    """Strong signals, ranked with ``order``.  ``demo`` has one row per case."""
     triples = find_triples(demo, drug, react, config, store)
     if not isinstance(config.params, MixtureParams):
         triples = store(triples)
     params = mixture_for(triples, config, store)
     return scored_signals(
-        triples, params, config.min_actual, config.posterior, config.cap, config.min_ebci
+        triples, params, config.min_actual, config.posterior, config.cap, config.min_ebci, order, store
     )
 
 

@@ -108,7 +108,7 @@ def run_score(
     triples = _triples(spark, root, config, fmt)
     params = mixture_for(triples, config)
     signals = scored_signals(
-        triples, params, config.min_actual, config.posterior, config.cap, config.min_ebci
+        triples, params, config.min_actual, config.posterior, config.cap, config.min_ebci, store=written
     )
     write_stage_table(signals, root, "scored_drugs2_reacs", fmt=fmt)
 
