@@ -416,7 +416,7 @@ def _sampler(path: str, k: int, seed: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(path)
-        for batch in batches:
+        for batch in (b.slice(i, 512) for b in batches for i in range(0, len(b), 512)):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             keys = mixed(batch.column("key").to_numpy().view(np.uint64) + np.uint64(seed))
             row = 0

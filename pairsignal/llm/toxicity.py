@@ -274,16 +274,31 @@ def _stems_of(text: str | None) -> set[str]:
     return out
 
 
-def _stem_counts(only: frozenset | None):
+def _texts(batches: Iterator[pa.RecordBatch], at_once: int = 256) -> Iterator[list[str | None]]:
+    """The texts of the batches, a few at a time, so that a task holds few of them as objects."""
+    for batch in batches:
+        for row in range(0, len(batch), at_once):
+            yield batch.slice(row, at_once).column("text").to_pylist()
+
+
+def _stem_counts(only: frozenset | None, most: int = 100_000):
+    """Counts of stems; a task gives its own out whenever it holds ``most``, and Spark adds them up."""
+
+    def batch_of(counts: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["stem", "texts"]
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts = Counter()
-            for text in batch.column("text").to_pylist():
+        counts: Counter = Counter()
+        for texts in _texts(batches):
+            for text in texts:
                 stems = _stems_of(text)
                 counts.update(stems if only is None else stems & only)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["stem", "texts"]
-            )
+                if len(counts) >= most:
+                    yield batch_of(counts)
+                    counts = Counter()
+        yield batch_of(counts)
 
     return run
 
@@ -292,9 +307,9 @@ def _stem_contexts(only: frozenset):
     """(stem, hash of the words around) for the first place of each stem in a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for texts in _texts(batches):
             rows = []
-            for text in batch.column("text").to_pylist():
+            for text in texts:
                 words = ["", *_WORD.findall((text or "").lower()), ""]
                 seen = set()
                 for before, word, after in zip(words, words[1:], words[2:]):
