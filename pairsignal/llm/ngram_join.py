@@ -7,8 +7,9 @@
    first (document counts over the whole corpus), then the rest by value.  Two sets that link share
    a number in the first n - ceil(t n) + 1 places.  Numbers that one document alone has fill those
    places first and lead nowhere, so most documents take no further part.
-3. The whole sets of the others are fetched by text hash, and ordered once more, now all their
-   numbers by their counts among these sets.  Places then tell how much of a set is its own.
+3. Of the others, those that share a prefix number with a set of a size near theirs are candidates.
+   Their whole sets are fetched by text hash, and ordered once more, now all their numbers by their
+   counts among these sets.  Places then tell how much of a set is its own.
 4. Classes with equal size and equal prefix are one group.  Groups that share a prefix number are
    filtered by size and by place: the overlap still possible after the shared place must reach what
    t asks for both sizes.  Groups that pass are expanded to their members, which are verified.
@@ -30,6 +31,7 @@ id).  Extra columns are ignored by the join and passed through by the stage.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,12 +40,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .tables import NO_ID, stored, table
+from .tables import NO_ID, deleted, stored, table
 from .words import MIXERS, mixed, shingle_set, shingles, text_chunks, word_hashes
 
 WIDTH, PERCENT = 4, 85  # of the registered query
 STAGE_WIDTH, STAGE_PERCENT = 5, 80
-SPREAD = 1.7  # the ordered fraction of the hash range, as a multiple of the prefix's share
+SPREAD = 1.5  # the ordered fraction of the hash range, as a multiple of the prefix's share
 
 _ROWS = "doc_id long, t1 long, t2 long, n int, s1 long, s2 long, ordered int, tokens array<long>"
 
@@ -130,6 +132,20 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _meeting(prefixes: DataFrame, percent: int) -> DataFrame:
+    """The nodes that share a prefix number with a set of a size near theirs.
+
+    Sizes that can link lie in one band of the logarithm or in two that touch; each set shows up
+    in its band and the next, so that both meet under one number."""
+    width = math.log(100 / percent) * 1.0001
+    band = F.floor(F.ln("n") / F.lit(width))
+    shown = prefixes.select("node", F.explode("prefix.token").alias("token"), band.alias("band")).select(
+        "node", "token", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band")
+    )
+    crowd = stored(shown.groupBy("token", "band").agg(F.count("*").alias("k")).filter("k > 1").drop("k"))
+    return shown.join(crowd, ["token", "band"]).select("node").distinct()
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose whole sets link."""
     from_a = sets.select(F.col("node").alias("a"), F.col("tokens").alias("of_a"))
@@ -165,21 +181,34 @@ def _member_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
     texts = _text_keys(docs.select("doc_id", "text")).withColumn("did", F.coalesce("doc_id", F.lit(NO_ID)))
     found = texts.join(wanted, ["did", "t1", "t2"]).select("node", "text")
-    return found.mapInArrow(run, "node long, n int, tokens array<long>").dropDuplicates(["node"])
+    return found.mapInArrow(run, "node long, n int, tokens array<long>")
+
+
+def _row_keys(summaries: DataFrame) -> DataFrame:
+    """node, did, t1, t2 and how many rows have these keys."""
+    key = ["did", "t1", "t2"]
+    rows = summaries.select(F.col("uid").alias("node"), F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), "t1", "t2")
+    return rows.join(rows.groupBy(key).agg(F.count("*").alias("copies")), key)
 
 
 def linked_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """doc_id, t1, t2 (hashes of the text), uid, n, node and root of every row of ``docs``: rows
     with one root are connected by links."""
     keyed = _text_keys(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    summaries = stored(
+    whole = stored(
         keyed.mapInArrow(_summaries(width, percent), _ROWS).withColumn("uid", F.monotonically_increasing_id())
     )
+    summaries = stored(whole.drop("tokens"))
     classes = stored(summaries.filter("n > 0").groupBy("s1", "s2").agg(F.min("uid").alias("node")))
-    firsts = summaries.filter("n > 0").withColumnRenamed("uid", "node").join(classes.select("node"), "node")
-    shared = _prefixes(firsts.select("node", "n", "ordered", "tokens"), percent).select("node")
-    keys = summaries.select(F.col("uid").alias("node"), F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), "t1", "t2")
-    sets = stored(_member_sets(docs, stored(shared.join(keys, "node")), width))
+    firsts = whole.filter("n > 0").withColumnRenamed("uid", "node").join(classes.select("node"), "node")
+    first_prefixes = stored(_prefixes(firsts.select("node", "n", "ordered", "tokens"), percent))
+    deleted(whole)  # the largest table, and read no more
+    wanted = stored(_meeting(first_prefixes, percent).join(_row_keys(summaries), "node"))
+    sets = _member_sets(docs, wanted.filter("copies = 1"), width)
+    repeated = wanted.filter("copies > 1")
+    if not repeated.isEmpty():  # rows that are wholly equal give their set once
+        sets = sets.unionByName(_member_sets(docs, repeated, width).dropDuplicates(["node"]))
+    sets = stored(sets)
     prefixes = stored(_prefixes(sets.withColumn("ordered", F.col("n")), percent))
     group = prefixes.groupBy("n", "g1", "g2").agg(F.min("node").alias("gid"))
     members = stored(prefixes.join(group, ["n", "g1", "g2"]).select("node", "gid", "n"))

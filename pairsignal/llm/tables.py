@@ -24,6 +24,15 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def deleted(df: DataFrame) -> None:
+    """Deletes a table made by ``stored`` that nothing reads any more."""
+    spark = df.sparkSession
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()[:1]}:
+        if "/llm-" in path:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A few rows of numbers or strings as an inline table, with no Python on the executors."""
     fields = [f.strip().split(" ") for f in schema.split(",")]
