@@ -45,7 +45,7 @@ SHARPNESS = 1.0
 SEED = 20240501
 BLANK = 0x2581
 STRANGE = 0x110000  # stands for a literal piece sign
-CHUNK = 1 << 20  # characters whose lattices are made at once; a longer text is a chunk of its own
+CHUNK = 1 << 18  # characters whose lattices are made at once; a longer text is a chunk of its own
 _INVERSE = np.uint64(pow(int(_FACTOR), -1, 2**64))
 
 _OPEN: dict = {}
@@ -416,7 +416,7 @@ def _sampler(path: str, k: int, seed: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(path)
-        for batch in (b.slice(i, 512) for b in batches for i in range(0, len(b), 512)):
+        for batch in (b.slice(i, 128) for b in batches for i in range(0, len(b), 128)):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             keys = mixed(batch.column("key").to_numpy().view(np.uint64) + np.uint64(seed))
             row = 0
