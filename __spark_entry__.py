@@ -62,7 +62,7 @@ def _pair_counts(spark, sf, cols):
 def _marginals(spark, sf, cols):
     t, pair_counts = _pair_counts(spark, sf, cols)
     return expected.pair_marginals(
-        pair_counts,
+        written(pair_counts),
         written(counts.stratum_counts(t.reports, cols)),
         written(counts.drug_counts(t.items, cols)),
         written(counts.react_counts(t.outcomes, cols)),

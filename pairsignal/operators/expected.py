@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pairsignal.operators.counts import drug_counts, react_counts, stratum_counts
 from pairsignal.operators.pairs import BLOCK, pair_outcome_products
 from pairsignal.operators.reports import ReportTables
-from pairsignal.operators.skew import heaviest_keys, join_spread
+from pairsignal.operators.skew import ROWS_PER_SALT, heaviest_keys, join_spread, rows_of_keys
 from pairsignal.schema import Columns, DEFAULT_COLUMNS
 from pairsignal.sources.written import store_all, unwritten
 
@@ -21,21 +21,23 @@ def pair_marginals(
     n_drug: DataFrame,
     n_react: DataFrame,
     cols: Columns = DEFAULT_COLUMNS,
+    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """Attach the stratum total and both item counts and the outcome count.
 
     The total rides on the (much smaller) outcome counts, so the pair table is joined three
-    times, not four.  Popular names join in parts.
+    times, not four.  Names with many pair rows join in parts; the pair table is read once more
+    for each key to weigh them, so it should be a stored one.
     """
     strata = [*cols.strata]
     rows = pair_counts
     for item, out in ((cols.item1, "n_drug1"), (cols.item2, "n_drug2")):
         counts = n_drug.select(*strata, F.col(cols.item).alias(item), F.col("n_drug").alias(out))
         others = [c for c in cols.triple if c != item]
-        hot = heaviest_keys(counts, [*strata, item], out)
+        hot = heaviest_keys(rows_of_keys(pair_counts, [*strata, item]), [*strata, item], rows_per_salt=rows_per_salt)
         rows = join_spread(rows, counts, [*strata, item], hot, others)
     keys = [*strata, cols.outcome]
-    hot = heaviest_keys(n_react, keys, "n_react")
+    hot = heaviest_keys(rows_of_keys(pair_counts, keys), keys, rows_per_salt=rows_per_salt)
     rows = join_spread(rows, n_react.join(n_stratum, strata), keys, hot, [cols.item1, cols.item2])
     return rows.select(*strata, *cols.triple, "n", "n_stratum", "n_drug1", "n_drug2", "n_react")
 
@@ -58,7 +60,8 @@ def actual_expected(stratified: DataFrame, cols: Columns = DEFAULT_COLUMNS) -> D
 
 
 def with_marginals(
-    rows: DataFrame, counts: DataFrame, name: str, n: str, cols: Columns, min_actual: int
+    rows: DataFrame, counts: DataFrame, name: str, n: str, cols: Columns, min_actual: int,
+    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """Attach each name's count in its stratum, before any pair is formed.
 
@@ -66,7 +69,8 @@ def with_marginals(
     cannot be reported more often than its rarest name, so none of the kept triples changes.
     """
     keys = [*cols.strata, name]
-    hot = heaviest_keys(counts, keys, n)
+    # A distinct report has one row of the name: the count is the number of rows to be joined.
+    hot = heaviest_keys(counts, keys, n, rows_per_salt)
     if min_actual > 1:
         often = counts.groupBy(name).agg(F.sum(n).alias("total")).where(F.col("total") >= min_actual)
         counts = counts.join(often.select(name), name, "left_semi")
@@ -79,6 +83,7 @@ def report_actual_expected(
     min_actual: int = 1,
     block: int = BLOCK,
     store: Callable[[DataFrame], DataFrame] = unwritten,
+    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """Actual and expected counts straight from the report tables.
 
@@ -94,9 +99,9 @@ def report_actual_expected(
         drug_counts(tables.items, cols),
         react_counts(tables.outcomes, cols).join(n_stratum, strata),
     )
-    items = with_marginals(tables.items, n_drug, cols.item, "n_drug", cols, min_actual)
+    items = with_marginals(tables.items, n_drug, cols.item, "n_drug", cols, min_actual, rows_per_salt)
     outcomes = with_marginals(
-        tables.outcomes, n_react, cols.outcome, "n_react", cols, min_actual
+        tables.outcomes, n_react, cols.outcome, "n_react", cols, min_actual, rows_per_salt
     )
     per_stratum = (
         pair_outcome_products(items, outcomes, cols, block)

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairsignal.operators.skew import heaviest_keys, join_spread
+from pairsignal.operators.skew import ROWS_PER_SALT, heaviest_keys, join_spread
 from pairsignal.schema import Columns, DEFAULT_COLUMNS
 from pairsignal.sources.written import store_all, unwritten
 
@@ -43,10 +43,11 @@ def join_reports(left: DataFrame, right: DataFrame, cols: Columns) -> DataFrame:
 
 
 def join_names(
-    names: DataFrame, reports: DataFrame, size: str, name: list[str], cols: Columns
+    names: DataFrame, reports: DataFrame, size: str, name: list[str], cols: Columns,
+    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """Join the names of each report to its row, large reports in parts by name."""
-    hot = heaviest_keys(reports, [cols.report], size)
+    hot = heaviest_keys(reports, [cols.report], size, rows_per_salt)
     return join_spread(names, reports, [cols.report], hot, name, merge=True)
 
 

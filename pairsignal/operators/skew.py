@@ -5,30 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 1000
 ROWS_PER_SALT = 1_000_000
+MOST_HOT = 100_000
+
+
+def rows_of_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """How many of the rows about to be joined each key has, as ``rows_of_key``."""
+    return rows.groupBy(*keys).agg(F.count("*").alias("rows_of_key"))
 
 
 def heaviest_keys(
     weights: DataFrame,
     keys: list[str],
-    weight: str,
-    hot_keys: int = HOT_KEYS,
+    weight: str = "rows_of_key",
     rows_per_salt: int = ROWS_PER_SALT,
+    most: int = MOST_HOT,
 ) -> DataFrame:
     """The keys worth splitting, with the number of parts of each as ``salts``.
 
-    ``weights`` holds the rows of each key, once or more often.  At most ``hot_keys`` rows come back whatever the data,
-    so the result may be broadcast; any key left out holds less than 1/``hot_keys`` of the
-    whole.  The order is total, so every evaluation picks the same keys.
+    ``weights`` says how many rows of the large side each key has, once or more often.  A part
+    holds ``rows_per_salt`` rows, or 1/``most`` of all rows where that is more.  Every key above
+    that is split, and there are fewer than ``most`` of them, since their rows add up to no more
+    than all rows: the result may be broadcast, whatever the data.
     """
-    return (
-        weights.where(F.col(weight) > rows_per_salt)
-        .orderBy(F.desc(weight), *keys)
-        .limit(hot_keys)
-        .groupBy(*keys)
-        .agg(F.ceil(F.max(weight) / rows_per_salt).alias("salts"))
-    )
+    counted = weights.groupBy(*keys).agg(F.max(weight).alias("w"))
+    part = F.greatest(F.lit(float(rows_per_salt)), counted.agg(F.sum("w") / most).scalar())
+    return counted.where(F.col("w") > part).select(*keys, F.ceil(F.col("w") / part).alias("salts"))
 
 
 def join_spread(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from pairsignal.operators.skew import heaviest_keys, join_spread
+from pairsignal.operators.skew import ROWS_PER_SALT, heaviest_keys, join_spread
 
 PARTS = 10
 CUTS = [f"q{i}" for i in range(PARTS + 1)]
@@ -123,14 +123,15 @@ def _probe(value: Column, low: int, high: int) -> Column:
 
 
 def binned_expected(
-    triples: DataFrame, cuts: DataFrame, group: str = "actual", value: str = "expected"
+    triples: DataFrame, cuts: DataFrame, group: str = "actual", value: str = "expected",
+    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """Attach ``bin``, the place of the value among its group's cuts (0..10).
 
     The smallest count has the most triples by far, so large groups join in parts.
     """
     spread_by = [c for c in triples.columns if c != group]
-    hot = heaviest_keys(cuts, [group], "n_group")
+    hot = heaviest_keys(cuts, [group], "n_group", rows_per_salt)
     joined = join_spread(triples, cuts, [group], hot, spread_by)
     return joined.withColumn("bin", _probe(F.col(value), 0, PARTS)).drop("n_group", *CUTS)
 

@@ -6,9 +6,10 @@ from collections import Counter
 import pytest
 from conftest import rows
 
-from pairsignal.operators import expected, pairs, reports, skew
+from pairsignal.operators import counts, expected, pairs, reports, skew, squash
 from pairsignal.operators.counts import drug_react_counts, pair_react_counts
 from pairsignal.schema import Columns
+from pairsignal.sources.written import written
 
 COLS = Columns(strata=("gender",))
 
@@ -58,16 +59,49 @@ def test_counts_in_blocks(skewed, block):
 def test_hot_keys_in_parts(spark):
     big = spark.range(1000).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS k", "id AS v")
     table = big.groupBy("k").count().withColumnRenamed("count", "n")
-    hot = skew.heaviest_keys(table, ["k"], "n", hot_keys=5, rows_per_salt=10)
+    hot = skew.heaviest_keys(table, ["k"], "n", rows_per_salt=10)
     assert rows(hot) == [(0, 34)]
     got = skew.join_spread(big, table, ["k"], hot, ["v"])
     assert rows(got, "k", "v", "n") == rows(big.join(table, "k"), "k", "v", "n")
 
 
-def test_number_of_hot_keys_is_bounded(spark):
-    weights = spark.range(100).selectExpr("id AS k", "100 - id DIV 2 AS n")
-    hot = skew.heaviest_keys(weights, ["k"], "n", hot_keys=3, rows_per_salt=1)
-    assert rows(hot, "k") == [(0,), (1,), (2,)]
+def test_every_heavy_key_is_split_and_they_are_few(spark):
+    weights = spark.range(1000).selectExpr("id AS k", "1000 - id AS n")
+    hot = {r["k"]: r["salts"] for r in skew.heaviest_keys(weights, ["k"], "n", rows_per_salt=400).collect()}
+    assert hot == {k: -(-(1000 - k) // 400) for k in range(600)}
+    # Parts grow with the whole, so that fewer than ``most`` keys are ever above them.
+    total = 1000 * 1001 // 2
+    for most in (3, 700):
+        part = max(1, total / most)
+        hot = skew.heaviest_keys(weights, ["k"], "n", rows_per_salt=1, most=most).collect()
+        assert {r["k"] for r in hot} == {k for k in range(1000) if 1000 - k > part} and len(hot) < most
+
+
+def test_joins_in_parts_equal_plain_joins(skewed):
+    demo, drug, react, *_ = skewed
+    t = reports.report_tables(demo, drug, react, COLS, written)
+    pair_counts = written(pair_react_counts(t.items, t.outcomes, COLS))
+    counted = [written(f) for f in (counts.stratum_counts(t.reports, COLS), counts.drug_counts(t.items, COLS), counts.react_counts(t.outcomes, COLS))]
+    plain = pair_counts
+    for item, out in (("drug1", "n_drug1"), ("drug2", "n_drug2")):
+        plain = plain.join(counted[1].toDF("gender", item, out), ["gender", item])
+    plain = plain.join(counted[2], ["gender", "react"]).join(counted[0], ["gender"])
+    got = expected.pair_marginals(pair_counts, *counted, COLS, rows_per_salt=5)
+    assert rows(got, *sorted(got.columns)) == rows(plain, *sorted(got.columns))
+
+    got = expected.with_marginals(t.items, counted[1], "drug", "n_drug", COLS, 1, rows_per_salt=5)
+    plain = t.items.join(counted[1], ["gender", "drug"])
+    assert rows(got, *sorted(got.columns)) == rows(plain, *sorted(got.columns))
+    triples = written(expected.report_actual_expected(t, COLS, store=written))
+    assert rows(expected.report_actual_expected(t, COLS, store=written, rows_per_salt=5)) == rows(triples)
+
+    sizes = drug.groupBy("isr").count().withColumnRenamed("count", "n_items")
+    got = reports.join_names(drug, sizes, "n_items", ["drug"], COLS, rows_per_salt=5)
+    assert rows(got, *sorted(got.columns)) == rows(drug.join(sizes, "isr"), *sorted(got.columns))
+
+    cuts = written(squash.quantile_cuts(triples))
+    got = squash.binned_expected(triples, cuts, rows_per_salt=5)
+    assert rows(got) == rows(squash.binned_expected(triples, cuts))
 
 
 def test_pruning_rare_names_is_exact(skewed):
