@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from pairsignal.schema import Columns, DEFAULT_COLUMNS
+from pairsignal.sources.written import written
 
 COMBINATION_MARK = "/"
-SPLITS = 255
 
 
 def combination_filter(signals: DataFrame, cols: Columns = DEFAULT_COLUMNS) -> DataFrame:
@@ -20,28 +22,29 @@ def combination_filter(signals: DataFrame, cols: Columns = DEFAULT_COLUMNS) -> D
     )
 
 
-def dense_ids(names: DataFrame, name: str, out: str = "id", splits: int = SPLITS) -> DataFrame:
+def dense_ids(
+    names: DataFrame,
+    name: str,
+    out: str = "id",
+    ranges: int | None = None,
+    store: Callable[[DataFrame], DataFrame] = written,
+) -> DataFrame:
     """Number distinct names 0, 1, 2, ... in name order without sorting them in one task.
 
-    The names with the lowest hashes are a random sample, at most ``splits`` of them, and
-    cut the others into ranges; each range is ranked on its own and starts where the ranges
-    before it end.  The sample depends on the names alone, so every evaluation agrees.
+    The names are dealt into ranges, as many as a shuffle has partitions or ``ranges``, and sorted
+    within; a running number gives the place in the range, and each range starts where the ranges
+    before it end.  The sorted names are stored, which fixes the ranges.
     """
-    sample = (
-        names.orderBy(F.xxhash64(name), name)
-        .limit(splits)
-        .agg(F.sort_array(F.collect_list(name)).alias("splits"))
-    )
-    ranges = names.withColumn("splits", sample.scalar()).withColumn(
-        "range", F.expr(f"size(filter(splits, s -> s <= {name}))")
-    ).drop("splits")
-    sizes = ranges.groupBy("range").agg(F.count("*").alias("m"))
-    # At most splits + 1 rows.
-    before = F.sum("m").over(Window.partitionBy(F.lit(0)).orderBy("range")) - F.col("m")
-    starts = sizes.select("range", before.alias("start"))
-    place = F.row_number().over(Window.partitionBy("range").orderBy(name)) - 1
-    return ranges.join(starts, "range").select(
-        (F.col("start") + place).alias(out), name
+    dealt = names.repartitionByRange(name) if ranges is None else names.repartitionByRange(ranges, name)
+    placed = store(
+        dealt.sortWithinPartitions(name).withColumn("_place", F.monotonically_increasing_id())
+    ).withColumn("_range", F.expr("_place DIV 8589934592L"))
+    sizes = placed.groupBy("_range").agg(F.count("*").alias("m"))
+    # A row for each range.
+    before = F.sum("m").over(Window.partitionBy(F.lit(0)).orderBy("_range")) - F.col("m")
+    starts = sizes.select("_range", before.alias("start"))
+    return placed.join(starts, "_range").select(
+        (F.col("start") + F.col("_place") % F.lit(8589934592)).alias(out), name
     )
 
 

@@ -71,7 +71,7 @@ def run_counts(
         "strat_drugs2_reacs_counts": pair_react_counts(t.items, t.outcomes, cols),
     }
     for name, df in outputs.items():
-        write_stage_table(df, root, name, cols.strata, fmt)
+        write_stage_table(df, root, name, cols, fmt)
 
 
 def run_expected(
@@ -79,7 +79,7 @@ def run_expected(
 ) -> None:
     cols = config.cols
     pairs, strata, drugs, reacts = (
-        read_stage_table(spark, root, name, cols.strata, fmt)
+        read_stage_table(spark, root, name, cols, fmt)
         for name in (
             "strat_drugs2_reacs_counts", "strat_demo_counts",
             "strat_drugs_counts", "strat_reacs_counts",
@@ -87,19 +87,19 @@ def run_expected(
     )
     marginals = pair_marginals(pairs, strata, drugs, reacts, cols)
     triples = actual_expected(pair_stratum_expected(marginals), cols)
-    write_stage_table(triples, root, "drugs2_reacs_actual_expected", cols.strata, fmt)
+    write_stage_table(triples, root, "drugs2_reacs_actual_expected", cols, fmt)
 
 
 def _triples(spark: SparkSession, root: str, config: SignalConfig, fmt: str) -> DataFrame:
     name = "drugs2_reacs_actual_expected"
-    return min_actual_filter(read_stage_table(spark, root, name, fmt=fmt), config.min_actual)
+    return min_actual_filter(read_stage_table(spark, root, name, config.cols, fmt), config.min_actual)
 
 
 def run_squash(
     spark: SparkSession, root: str, config: SignalConfig = SignalConfig(), fmt: str = "parquet"
 ) -> None:
     triples = _triples(spark, root, config, fmt).select("actual", "expected")
-    write_stage_table(squashed(triples), root, "drugs2_reacs_stats", fmt=fmt)
+    write_stage_table(squashed(triples), root, "drugs2_reacs_stats", config.cols, fmt)
 
 
 def run_score(
@@ -110,15 +110,20 @@ def run_score(
     signals = scored_signals(
         triples, params, config.min_actual, config.posterior, config.cap, config.min_ebci, store=written
     )
-    write_stage_table(signals, root, "scored_drugs2_reacs", fmt=fmt)
+    write_stage_table(signals, root, "scored_drugs2_reacs", config.cols, fmt)
 
 
 def run_network(
     spark: SparkSession, root: str, config: SignalConfig = SignalConfig(), fmt: str = "parquet"
 ) -> tuple[DataFrame, DataFrame]:
-    """Nodes and edges of the scored stage table."""
-    signals = read_stage_table(spark, root, "scored_drugs2_reacs", fmt=fmt)
-    return signal_network(signals, config.cols)
+    """Nodes and edges of the scored stage table, as stage tables."""
+    signals = read_stage_table(spark, root, "scored_drugs2_reacs", config.cols, fmt)
+    for name, df in zip(("network_nodes", "network_edges"), signal_network(signals, config.cols)):
+        write_stage_table(df, root, name, config.cols, fmt)
+    nodes, edges = (
+        read_stage_table(spark, root, name, config.cols, fmt) for name in ("network_nodes", "network_edges")
+    )
+    return nodes, edges
 
 
 def run_all(
@@ -129,9 +134,11 @@ def run_all(
     root: str,
     config: SignalConfig = SignalConfig(),
     fmt: str = "parquet",
+    normalize_strata: bool = False,
 ) -> None:
-    """All jobs in order, from report lines to the scored table."""
-    run_counts(*read_sources(spark, demos, drugs, reactions), root, config, fmt)
+    """All jobs in order, from report lines to the network."""
+    run_counts(*read_sources(spark, demos, drugs, reactions, normalize_strata), root, config, fmt)
     run_expected(spark, root, config, fmt)
     run_squash(spark, root, config, fmt)
     run_score(spark, root, config, fmt)
+    run_network(spark, root, config, fmt)

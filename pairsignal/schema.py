@@ -61,13 +61,14 @@ REACT = "isr BIGINT, react STRING"
 STRATUM_TYPES = {"gender": "STRING", "age": "BIGINT", "fda_dt": "STRING", "fda_year": "INT"}
 
 
-def stage_columns(name: str, strata: tuple[str, ...] = FULL_STRATA) -> dict[str, str]:
+def stage_columns(name: str, cols: Columns = DEFAULT_COLUMNS) -> dict[str, str]:
     """Columns of one stage table, in written order, with their types."""
-    by = {s: STRATUM_TYPES.get(s, "STRING") for s in strata}
-    report = {"isr": "BIGINT", **by}
-    item, outcome = {"drug": "STRING"}, {"react": "STRING"}
-    triple = {"drug1": "STRING", "drug2": "STRING", **outcome}
+    by = {s: STRATUM_TYPES.get(s, "STRING") for s in cols.strata}
+    report = {cols.report: "BIGINT", **by}
+    item, outcome = {cols.item: "STRING"}, {cols.outcome: "STRING"}
+    triple = {cols.item1: "STRING", cols.item2: "STRING", **outcome}
     actual_expected = {**triple, "actual": "BIGINT", "expected": "DOUBLE"}
+    # The names of the stage tables.
     tables = {
         "strat_drugs1_reacs": {**item, **outcome, **report},
         "strat_demo_counts": {**by, "n_stratum": "BIGINT"},
@@ -83,6 +84,10 @@ def stage_columns(name: str, strata: tuple[str, ...] = FULL_STRATA) -> dict[str,
         "scored_drugs2_reacs": {
             **actual_expected, "rrr": "DOUBLE", "ebgm": "DOUBLE", "ebci": "DOUBLE"
         },
+        "network_nodes": {"id": "BIGINT", "label": "STRING"},
+        "network_edges": {
+            "source": "BIGINT", "target": "BIGINT", "weight": "DOUBLE", "reactions": "ARRAY<STRING>"
+        },
     }
     return tables[name]
 

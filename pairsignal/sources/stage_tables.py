@@ -7,34 +7,72 @@ survives the loss of an executor.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairsignal.schema import FULL_STRATA, STAGE_SEPARATORS, stage_columns
+from pairsignal.schema import Columns, DEFAULT_COLUMNS, STAGE_SEPARATORS, stage_columns
+
+
+# How text says what its separator would hide: a null, and the signs themselves.
+NULL = "\\N"
+ESCAPES = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("$", "\\d"), (",", "\\c"), (";", "\\s"))
+
+
+def _escaped(field: Column) -> Column:
+    """A field as text: a null is NULL, and no separator or line end is left in it."""
+    for sign, said in ESCAPES:
+        field = F.replace(field, F.lit(sign), F.lit(said))
+    return F.coalesce(field, F.lit(NULL))
+
+
+def _unescaped(field: Column) -> Column:
+    out = field
+    mark = F.lit("\x00")  # keeps a doubled mark from being read with what follows
+    out = F.replace(out, F.lit("\\\\"), mark)
+    for sign, said in reversed(ESCAPES[1:]):
+        out = F.replace(out, F.lit(said), F.lit(sign))
+    return F.when(field != NULL, F.replace(out, mark, F.lit("\\")))
 
 
 def stage_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+def _said(field: Column, kind: str) -> Column:
+    """A list as its escaped members, each with ";" after it; other values as text."""
+    if kind != "ARRAY<STRING>":
+        return _escaped(field.cast("string"))
+    each = F.transform(field, lambda x: F.concat(_escaped(x), F.lit(";")))
+    return F.coalesce(F.array_join(each, ""), F.lit(NULL))
+
+
+def _meant(text: Column, kind: str) -> Column:
+    if kind != "ARRAY<STRING>":
+        return _unescaped(text).cast(kind)
+    members = F.transform(F.split(F.regexp_replace(text, ";$", ""), ";"), _unescaped)
+    return F.when(text == "", F.array().cast(kind)).when(text != NULL, members)
+
+
 def write_stage_table(
     df: DataFrame,
     root: str,
     name: str,
-    strata: tuple[str, ...] = FULL_STRATA,
+    cols: Columns = DEFAULT_COLUMNS,
     fmt: str = "parquet",
 ) -> str:
     """Write ``df`` as stage table ``name`` under ``root``, replacing an earlier one.
 
+    Text fields are escaped, so nulls, separators and line ends come back as they were.
+
     Row order is kept: the parts of a globally sorted frame follow one another.
     """
-    columns = list(stage_columns(name, strata))
+    columns = stage_columns(name, cols)
     path = stage_path(root, name)
     if fmt == "parquet":
-        df.select(*columns).write.mode("overwrite").parquet(path)
+        df.select(*[F.col(f"`{c}`") for c in columns]).write.mode("overwrite").parquet(path)
     elif fmt == "text":
         sep = STAGE_SEPARATORS.get(name, "$")
-        fields = [F.col(c).cast("string") for c in columns]
+        fields = [_said(F.col(f"`{c}`"), kind) for c, kind in columns.items()]
         df.select(F.concat_ws(sep, *fields).alias("value")).write.mode("overwrite").text(path)
     else:
         raise ValueError(f"unknown stage format {fmt!r}")
@@ -45,20 +83,20 @@ def read_stage_table(
     spark: SparkSession,
     root: str,
     name: str,
-    strata: tuple[str, ...] = FULL_STRATA,
+    cols: Columns = DEFAULT_COLUMNS,
     fmt: str = "parquet",
 ) -> DataFrame:
-    columns = stage_columns(name, strata)
+    columns = stage_columns(name, cols)
     path = stage_path(root, name)
     if fmt == "parquet":
-        return spark.read.schema(", ".join(f"{c} {t}" for c, t in columns.items())).parquet(path)
+        return spark.read.schema(", ".join(f"`{c}` {t}" for c, t in columns.items())).parquet(path)
     if fmt != "text":
         raise ValueError(f"unknown stage format {fmt!r}")
     sep = STAGE_SEPARATORS.get(name, "$")
     parts = spark.read.text(path).select(F.split("value", f"[{sep}]", -1).alias("f"))
     return parts.select(
         *[
-            F.get("f", F.lit(i)).cast(kind).alias(name_)
+            _meant(F.get("f", F.lit(i)), kind).alias(name_)
             for i, (name_, kind) in enumerate(columns.items())
         ]
     )

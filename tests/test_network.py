@@ -30,5 +30,5 @@ def test_network(spark):
 def test_dense_ids_over_many_ranges(spark):
     names = [f"n{i * 7919 % 500:03}" for i in range(500)]
     df = spark.createDataFrame([(n,) for n in names], "name string").repartition(7)
-    for splits in (1, 13, 600):
-        assert rows(dense_ids(df, "name", splits=splits), "id", "name") == list(enumerate(sorted(names)))
+    for ranges in (None, 1, 13, 600):
+        assert rows(dense_ids(df, "name", ranges=ranges), "id", "name") == list(enumerate(sorted(names)))
