@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -21,7 +22,8 @@ from pairsignal.operators import counts, expected, fit, network, pairs, reports,
 from pairsignal.plans.signals import SignalConfig, find_signals, find_triples, signal_network, squashed  # noqa: E402
 from pairsignal.schema import DEFAULT_COLUMNS, MixtureParams, YEAR_COLUMNS  # noqa: E402
 from pairsignal.sources import lines  # noqa: E402
-from pairsignal.sources.written import written  # noqa: E402
+from pairsignal.sources.stage_tables import read_stage_table, write_stage_table  # noqa: E402
+from pairsignal.sources.written import shared_folder, written  # noqa: E402
 
 try:  # the folder of these operators may be absent
     import corpus_pipeline
@@ -112,6 +114,33 @@ def _edges(spark, sf):
     return edges.withColumn("reactions", F.concat_ws("$", "reactions"))
 
 
+def _scratch(spark, name):
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _read_lines(spark, sf):
+    """The three sources written as text files and read as report lines."""
+    counted = []
+    for name, make in (("demos", fixtures.demo_lines), ("drugs", fixtures.drug_lines), ("reactions", fixtures.react_lines)):
+        path = _scratch(spark, name)
+        make(spark, sf).write.text(path)
+        lines_ = lines.read_report_lines(spark, path)
+        text = F.col(lines_.columns[0])
+        counted.append(lines_.agg(
+            F.lit(name).alias("source"), F.count("*").alias("n"), F.sum(F.length(text)).alias("chars"),
+            F.min(text).alias("first"), F.max(text).alias("last"),
+        ))
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
+def _stage_round_trip(spark, sf, fmt):
+    """Triples written as a stage table and read again."""
+    root, name = _scratch(spark, "stages"), "drugs2_reacs_actual_expected"
+    triples = find_triples(*_inputs(spark, sf), SCALE)
+    write_stage_table(triples, root, name, YEAR_COLUMNS, fmt)
+    return _rounded(read_stage_table(spark, root, name, YEAR_COLUMNS, fmt), 6, "expected")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     full, year = DEFAULT_COLUMNS, YEAR_COLUMNS
     drug = lambda spark, sf: lines.parse_drug(fixtures.drug_lines(spark, sf))
@@ -190,6 +219,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             fit.mixture_gradient(_cells(s, d), PLAIN), 3,
             "d_alpha1", "d_beta1", "d_alpha2", "d_beta2",
         ),
+        "fit_step": lambda s, d: _rounded(
+            fit.fit_step(_cells(s, d), PLAIN), 4, *fit.THETA, "loglik"
+        ),
+        "read_report_lines": _read_lines,
+        "stage_table_parquet": lambda s, d: _stage_round_trip(s, d, "parquet"),
+        "stage_table_text": lambda s, d: _stage_round_trip(s, d, "text"),
+        "scored_signals_mixed": _signals(
+            SignalConfig(cols=YEAR_COLUMNS, params=PLAIN, min_ebci=1.0)
+        ),
         "fit_mixture": lambda s, d: fit.fit_mixture(_cells(s, d)),
         "fit_mixture_multistart": lambda s, d: fit.fit_mixture_multistart(_cells(s, d)),
         "combination_filter": lambda s, d: network.combination_filter(_network(s, d)),

@@ -192,6 +192,7 @@ def _bounds_of(out: str, scale: str) -> str:
 
 
 EBGM = f"exp({_delta(D.alpha1, D.beta1)})"
+EBGM_MIXED = f"exp({WEIGHT} * ({_delta(P.alpha1, P.beta1)}) + (1 - {WEIGHT}) * ({_delta(P.alpha2, P.beta2)}))"
 EBCI = {
     "scale": f"CASE WHEN y * ({D.beta1} + expected) > 10 THEN -1.0 ELSE y * ({D.beta1} + expected) END",
     "rate": f"y / ({D.beta1} + expected)",
@@ -254,6 +255,30 @@ mixed AS (
   SELECT *, {P.p} * exp(ln1) AS x1, {1 - P.p} * exp(ln2) AS x2 FROM parts)"""
 
 
+def _step() -> str:
+    """One EM step: per component a scoring step in ln alpha and ln beta, its 2 x 2 solve written
+    out, no longer than 2; the share in closed form."""
+    sums, moves, out = [], [], []
+    for i, a, b in ((1, P.alpha1, P.beta1), (2, P.alpha2, P.beta2)):
+        wr, u, v = f"w * x{i} / (x1 + x2)", f"({a} * da{i})", f"({b} * db{i})"
+        sums += [
+            f"sum({wr} * {x}) AS {name}{i}" for name, x in
+            (("u", u), ("v", v), ("uu", f"{u} * {u}"), ("uv", f"{u} * {v}"), ("vv", f"{v} * {v}"))
+        ]
+        ridge = f"(1e-8 * (uu{i} + vv{i}) + 1e-12)"
+        det = f"((uu{i} + {ridge}) * (vv{i} + {ridge}) - uv{i} * uv{i})"
+        moves += [
+            f"((vv{i} + {ridge}) * u{i} - uv{i} * v{i}) / {det} AS mu{i}",
+            f"((uu{i} + {ridge}) * v{i} - uv{i} * u{i}) / {det} AS mv{i}",
+        ]
+        short = f"least(1, 2 / sqrt(mu{i} * mu{i} + mv{i} * mv{i}))"
+        out += [f"round({a} * exp({short} * mu{i}), 4) AS alpha{i}", f"round({b} * exp({short} * mv{i}), 4) AS beta{i}"]
+    return (
+        f"SELECT {', '.join(out)}, round(p, 4) AS p, round(loglik, 4) AS loglik FROM (SELECT *, {', '.join(moves)} "
+        f"FROM (SELECT {', '.join(sums)}, sum(w * x1 / (x1 + x2)) / sum(w) AS p, sum(w * ln(x1 + x2)) AS loglik FROM mixed))"
+    )
+
+
 def statements() -> dict[str, str]:
     full = ", ".join(FULL_STRATA)
     counted = {"demos": ("demo_lines", "demo"), "drugs": ("drug_lines", "drug"), "reactions": ("react_lines", "react")}
@@ -323,10 +348,7 @@ def statements() -> dict[str, str]:
             f"round({_delta(D.alpha2, D.beta2)}, 6) AS delta2 FROM triple",
         ),
         "ebgm_scores": scores("ebgm", EBGM),
-        "ebgm_scores_mixed": scores(
-            "ebgm",
-            f"exp({WEIGHT} * ({_delta(P.alpha1, P.beta1)}) + (1 - {WEIGHT}) * ({_delta(P.alpha2, P.beta2)}))",
-        ),
+        "ebgm_scores_mixed": scores("ebgm", EBGM_MIXED),
         "ebci_bounds": _recursive(
             f"{TRIPLES}, {QUANTILE}",
             f"SELECT {TRIPLE_COLUMNS}, round({EBCI['scale']}, 6) AS ebci FROM triple JOIN bound USING (actual)",
@@ -340,6 +362,18 @@ def statements() -> dict[str, str]:
             f"SELECT {TRIPLE_COLUMNS}, round(ebci_scale, 6) AS ebci_scale, round(ebci, 6) AS ebci "
             "FROM triple JOIN ebci_scale_found USING (actual, expected) JOIN ebci_found USING (actual, expected)",
         ),
+        "fit_step": _with(FITTED, _step()),
+        "read_report_lines": _with(SOURCES, " UNION ALL ".join(
+            f"SELECT '{name}' AS source, count(*) AS n, CAST(sum(length(value)) AS BIGINT) AS chars, "
+            f"min(value) AS first, max(value) AS last FROM {raw}" for name, (raw, _) in counted.items()
+        )),
+        "stage_table_parquet": _with(YEARLY, f"SELECT {TRIPLE_COLUMNS} FROM every_triple WHERE actual >= 3"),
+        "stage_table_text": _with(YEARLY, f"SELECT {TRIPLE_COLUMNS} FROM every_triple WHERE actual >= 3"),
+        "scored_signals_mixed": _recursive(
+            f"{EXACT_TRIPLES}, {_bounds_of('ebci', '(1 / ({b} + expected))')}",
+            f"SELECT {TRIPLE_COLUMNS}, round(actual / expected, 6) AS rrr, round({EBGM_MIXED}, 6) AS ebgm, "
+            "round(ebci, 6) AS ebci FROM triple JOIN ebci_found USING (actual, expected) WHERE ebci >= 1",
+        ),
         "rrr": scores("rrr", "actual / expected"),
         "scored_signals": _recursive(_scored("scale", 2.0), "SELECT * FROM signal"),
         "scored_signals_rate": _recursive(_scored("rate", 2.0), "SELECT * FROM signal"),

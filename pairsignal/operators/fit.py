@@ -29,8 +29,11 @@ STEPS = (1.0, 0.3, 0.05, 0.0)
 THETA = ("alpha1", "beta1", "alpha2", "beta2", "p")
 FIT_SCHEMA = (
     "start INT, alpha1 DOUBLE, beta1 DOUBLE, alpha2 DOUBLE, beta2 DOUBLE, p DOUBLE, "
-    "loglik DOUBLE, iterations INT"
+    "loglik DOUBLE, iterations INT, converged BOOLEAN, at_limit BOOLEAN"
 )
+# Limits of a step and of ln alpha and ln beta; a fit that ends at the latter says so.
+LONGEST_MOVE = 2.0
+LARGEST_LOG = 30.0
 
 
 def fit_input(squashed: DataFrame) -> DataFrame:
@@ -40,8 +43,17 @@ def fit_input(squashed: DataFrame) -> DataFrame:
     )
 
 
-def smallest_count(cells: DataFrame) -> int:
-    return int(cells.agg(F.min("n")).first()[0])
+def smallest_count(cells: DataFrame) -> int | None:
+    """The count at which the cells are truncated; None without cells."""
+    found = cells.agg(F.min("n")).first()[0]
+    return None if found is None else int(found)
+
+
+def _truncation(cells: DataFrame, nstar: int | None) -> int:
+    """``nstar`` as given, else the smallest count; any will do for no cells."""
+    if nstar is not None and nstar < 1:
+        raise ValueError(f"counts are truncated from 1 on, not from {nstar}")
+    return nstar or smallest_count(cells) or 1
 
 
 def _with_params(cells: DataFrame, params: MixtureParams) -> DataFrame:
@@ -152,7 +164,7 @@ def truncated_pmf(
     cells: DataFrame, params: MixtureParams, nstar: int | None = None
 ) -> DataFrame:
     """Log truncated probability of each cell's count under each component."""
-    mixed = _mixed(_with_params(cells, params), nstar or smallest_count(cells))
+    mixed = _mixed(_with_params(cells, params), _truncation(cells, nstar))
     return mixed.selectExpr(
         "n", "w", "e", "ln_f1 - ln_g1 AS ln_fstar1", "ln_f2 - ln_g2 AS ln_fstar2"
     )
@@ -162,7 +174,7 @@ def mixture_loglik(
     cells: DataFrame, params: MixtureParams, nstar: int | None = None
 ) -> DataFrame:
     """Weighted log likelihood of the truncated mixture, one row."""
-    mixed = _mixed(_with_params(cells, params), nstar or smallest_count(cells))
+    mixed = _mixed(_with_params(cells, params), _truncation(cells, nstar))
     return mixed.agg(F.sum(F.col("w") * F.col("ll")).alias("loglik"))
 
 
@@ -170,7 +182,7 @@ def mixture_responsibilities(
     cells: DataFrame, params: MixtureParams, nstar: int | None = None
 ) -> DataFrame:
     """Posterior share ``r`` of the first component in each cell."""
-    mixed = _mixed(_with_params(cells, params), nstar or smallest_count(cells))
+    mixed = _mixed(_with_params(cells, params), _truncation(cells, nstar))
     return mixed.select("n", "w", "e", "r")
 
 
@@ -183,7 +195,7 @@ def mixture_gradient(
     cells: DataFrame, params: MixtureParams, nstar: int | None = None
 ) -> DataFrame:
     """Derivatives of the log likelihood by alpha and beta of each component, one row."""
-    mixed = _mixed(_with_params(cells, params), nstar or smallest_count(cells))
+    mixed = _mixed(_with_params(cells, params), _truncation(cells, nstar))
     scored = _score(_score(mixed, 1), 2)
     return scored.agg(
         F.sum(F.expr("w * r * da1")).alias("d_alpha1"),
@@ -233,9 +245,9 @@ def _stepped(theta: tuple, s: dict, step: float) -> tuple:
         spread = np.array([[s[f"uu{i}"], s[f"uv{i}"]], [s[f"uv{i}"], s[f"vv{i}"]]])
         spread += np.eye(2) * (1e-8 * np.trace(spread) + 1e-12)
         move = np.linalg.solve(spread, gradient)
-        move *= min(1.0, 2.0 / max(np.linalg.norm(move), 1e-300))
+        move *= min(1.0, LONGEST_MOVE / max(np.linalg.norm(move), 1e-300))
         old = np.log(np.array(theta[2 * i - 2 : 2 * i]))
-        out += list(np.exp(np.clip(old + step * move, -30.0, 30.0)))
+        out += list(np.exp(np.clip(old + step * move, -LARGEST_LOG, LARGEST_LOG)))
     share = s["wr"] / s["w"]
     return (*out, float(min(max(share, 1e-12), 1.0 - 1e-12)))
 
@@ -246,6 +258,19 @@ def _spread(cells: DataFrame) -> DataFrame:
     return cells.repartition(cores) if cells.rdd.getNumPartitions() < cores else cells
 
 
+def _at_limit(theta: tuple) -> bool:
+    logs = np.abs(np.log(np.array(theta[:4])))
+    return bool((logs >= LARGEST_LOG - 1e-9).any() or not 1e-9 < theta[4] < 1 - 1e-9)
+
+
+def fit_step(cells: DataFrame, params: MixtureParams = PLAIN_START, step: float = 1.0, nstar: int | None = None) -> DataFrame:
+    """Theta after one EM step from ``params``, and the log likelihood before it; one row."""
+    theta = astuple(params)
+    sums = _sums(cells, [(0, 0, theta)], _truncation(cells, nstar)).get((0, 0))
+    rows = [(*map(float, _stepped(theta, sums, step)), float(sums["loglik"]))] if _usable(sums) else []
+    return cells.sparkSession.createDataFrame(rows, ", ".join(f"{k} DOUBLE" for k in (*THETA, "loglik")))
+
+
 def _usable(s: dict | None) -> bool:
     return s is not None and all(v is not None and math.isfinite(v) for v in s.values())
 
@@ -269,11 +294,15 @@ def fit_starts(
 
     Each iteration is one pass that tries a few step lengths for every start and keeps the
     likeliest, so the likelihood of a start never falls.  A start stops when a step gains
-    no more than ``tolerance``.
+    no more than ``tolerance``, and is then ``converged``; ``at_limit`` marks a fit whose alpha or
+    beta ran to the largest or smallest value allowed, or whose share lies at 0 or 1.  Without cells
+    there is no row.
     """
     spark = cells.sparkSession
     cells = _spread(store(cells.select("n", "w", "e")))
     nstar = smallest_count(cells)
+    if nstar is None:
+        return spark.createDataFrame([], FIT_SCHEMA)
     valid = {
         i: astuple(p) for i, p in enumerate(starts) if min(astuple(p)) > 0 and p.p <= 1
     }
@@ -299,18 +328,17 @@ def fit_starts(
                 run.theta, run.sums = moves[i, best], found[i, best]
                 run.iterations += 1
     rows = [
-        (i, *map(float, run.theta), float(run.sums["loglik"]), run.iterations)
+        (i, *map(float, run.theta), float(run.sums["loglik"]), run.iterations, not run.active, _at_limit(run.theta))
         for i, run in runs.items()
     ]
     return spark.createDataFrame(rows, FIT_SCHEMA)
 
 
 def fit_mixture(cells: DataFrame, start: MixtureParams = PLAIN_START, **options) -> DataFrame:
-    """EM from one start; a start that is not a valid theta is an error."""
-    fitted = fit_starts(cells, [start], **options)
-    if fitted.isEmpty():
+    """EM from one start; a start that is not a valid theta is an error.  No cells, no row."""
+    if not (min(astuple(start)) > 0 and start.p <= 1):
         raise ValueError(f"invalid start {start}")
-    return fitted
+    return fit_starts(cells, [start], **options)
 
 
 def random_starts(n: int = STARTS, seed: int = 0) -> list[MixtureParams]:
@@ -327,6 +355,7 @@ def fit_mixture_multistart(
     return fitted.orderBy(F.desc("loglik"), "start").limit(1)
 
 
-def fitted_params(fitted: DataFrame) -> MixtureParams:
+def fitted_params(fitted: DataFrame) -> MixtureParams | None:
+    """The likeliest fit; None where nothing could be fitted."""
     row = fitted.orderBy(F.desc("loglik"), "start").first()
-    return MixtureParams(*(row[k] for k in THETA))
+    return None if row is None else MixtureParams(*(row[k] for k in THETA))

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from pairsignal.operators.expected import report_actual_expected
-from pairsignal.operators.fit import fit_input, fit_mixture_multistart, fitted_params
+from pairsignal.operators.fit import PLAIN_START, fit_input, fit_mixture_multistart, fitted_params
 from pairsignal.operators.network import combination_filter, signal_edges, signal_nodes
 from pairsignal.operators.reports import report_tables
 from pairsignal.operators.score import STRONG, scored_signals
@@ -44,7 +44,8 @@ def mixture_for(
     if isinstance(config.params, MixtureParams):
         return config.params
     cells = fit_input(squashed(triples, store))
-    return fitted_params(fit_mixture_multistart(cells, store=store))
+    # Without a cell there is nothing to score but triples that no bin holds; the plain start serves.
+    return fitted_params(fit_mixture_multistart(cells, store=store)) or PLAIN_START
 
 
 def find_triples(
