@@ -166,9 +166,9 @@ def op6_nra_top_k(spark, sf_dir: str) -> DataFrame:
 
 ORACLE = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS n FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS n FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.n, c.n) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.n) = len(c.n) WHERE q.vec_id % 50 = 0
