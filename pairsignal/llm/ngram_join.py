@@ -13,9 +13,9 @@
 4. Classes with equal size and equal prefix are one group.  Groups that share a prefix number are
    filtered by size and by place: the overlap still possible after the shared place must reach what
    t asks for both sizes.  Groups that pass are expanded to their members, which are verified.
-5. Only components are asked for, so pairs are tried in two rounds.  The first tries each group
-   against one group of every number it shares, that with the least of its own before the number,
-   and each member against the first of its group: about as many pairs as prefix places.  The
+5. Only components are asked for, so pairs are tried in two rounds.  The first tries each member
+   of a group against the first member of one group of every number it shares, that whose numbers are the commonest (the centre of a
+   family of copies), and against the first of its own: about as many pairs as prefix places.  The
    second tries all remaining pairs of groups whose members are not yet in one component.  Copies
    by the thousand so meet one pivot instead of one another, and no pair that could join two
    components is left out.
@@ -107,11 +107,13 @@ def _reachable(percent: int, n1: Column, at1: Column, n2: Column, at2: Column) -
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     """node, n and the prefix (place and token) of each set (node, n, ordered, tokens) whose prefix
-    holds a number that another set has; g1 and g2 are hashes of the prefix."""
+    holds a number that another set has; g1 and g2 are hashes of the prefix.  ``weight`` is the sum
+    of the counts of its numbers: the centre of a family of copies has the largest."""
     own = sets.select("node", F.explode(F.slice("tokens", F.lit(1), F.col("ordered"))).alias("token"))
     counts = stored(own.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1"))
     shared = own.join(counts, "token").groupBy("node").agg(
-        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared")  # at most the set
+        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"),  # at most the set
+        F.sum("df").alias("weight"),
     )
     length = F.expr(f"CAST(n - ({percent} * CAST(n AS BIGINT) + 99) DIV 100 + 1 AS INT)")
     # Numbers past the ordered fraction serve only where that fraction holds too few.
@@ -128,7 +130,7 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     )
     return (
         per_set.withColumn("prefix", prefix).filter(F.size("prefix") > 0)
-        .select("node", "n", "prefix", F.xxhash64("n", "prefix").alias("g1"), F.hash("prefix").alias("g2"))
+        .select("node", "n", "prefix", F.coalesce("weight", F.lit(0)).alias("weight"), F.xxhash64("n", "prefix").alias("g1"), F.hash("prefix").alias("g2"))
     )
 
 
@@ -214,19 +216,20 @@ def linked_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
     members = stored(prefixes.join(group, ["n", "g1", "g2"]).select("node", "gid", "n"))
     places = stored(
         prefixes.join(members.filter("node = gid").select("node", "gid"), "node")
-        .select(F.explode("prefix").alias("t"), "gid", "n").select("t.token", "gid", "n", "t.place")
+        .select(F.explode("prefix").alias("t"), "gid", "n", "weight").select("t.token", "gid", "n", "t.place", "weight")
     )
 
     # First round: the first group of each number, the first member of each group.
     pivots = stored(
-        places.groupBy("token").agg(F.min(F.struct("place", "gid", "n")).alias("x"), F.count("*").alias("k"))
+        places.groupBy("token").agg(F.max(F.struct("weight", "gid", "n", "place")).alias("x"), F.count("*").alias("k"))
         .filter("k > 1").select("token", "x.gid", "x.n", "x.place")
     ).toDF("token", "gid0", "n0", "place0")
     met = places.join(pivots, "token").filter(
         (F.col("gid") != F.col("gid0")) & _reachable(percent, F.col("n"), F.col("place"), F.col("n0"), F.col("place0"))
     )
     tried = stored(
-        met.select(F.col("gid0").alias("a"), F.col("gid").alias("b"))
+        met.select("gid0", "gid").distinct().join(members.select("node", "gid"), "gid")
+        .select(F.col("gid0").alias("a"), F.col("node").alias("b"))
         .unionByName(members.filter("node <> gid").select(F.col("gid").alias("a"), F.col("node").alias("b")))
         .distinct()
     )
@@ -238,7 +241,7 @@ def linked_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
         members.join(joined, "node", "left").select("node", "gid", "n", F.coalesce("component", "node").alias("part"))
     )
     parts = held.select("gid", "part").distinct()
-    spread = places.join(parts, "gid")
+    spread = places.drop("weight").join(parts, "gid")
     mixed_tokens = stored(
         spread.groupBy("token").agg(F.min("part").alias("p0"), F.max("part").alias("p1")).filter("p0 < p1").select("token")
     )
