@@ -45,7 +45,7 @@ SHARPNESS = 1.0
 SEED = 20240501
 BLANK = 0x2581
 STRANGE = 0x110000  # stands for a literal piece sign
-CHUNK = 1 << 18  # characters whose lattices are made at once; a longer text is a chunk of its own
+CHUNK = 1 << 17  # characters whose lattices are made at once; a longer text is a chunk of its own
 _INVERSE = np.uint64(pow(int(_FACTOR), -1, 2**64))
 
 _OPEN: dict = {}
@@ -392,7 +392,7 @@ def _byte_ids(pieces: Pieces, chunk: _Chunk, edges: np.ndarray) -> np.ndarray:
 _SAMPLES = "doc_id long, sample int, ids binary, n_pieces long, log_prob double, perturbed double, log_inclusion double"
 
 
-def _sampler(path: str, k: int, seed: int):
+def _sampler(path: str, k: int, seed: int, decoded: bool = False):
     def rows_of(texts: list[str], keys: np.ndarray, pieces: Pieces):
         """(row, sample, ids, pieces, log_prob, perturbed, log_inclusion) of a chunk's texts."""
         full = [i for i, t in enumerate(texts) if t]
@@ -428,23 +428,29 @@ def _sampler(path: str, k: int, seed: int):
                 found = list(zip(*rows_of(texts[row:stop], keys[row:stop], pieces)))
                 ids = batch.column("doc_id").slice(row, stop - row).take(pa.array(found[0]))
                 kinds = (pa.int32(), pa.binary(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
-                yield pa.RecordBatch.from_arrays(
-                    [ids, *(pa.array(c, kind) for c, kind in zip(found[1:], kinds))],
-                    names=["doc_id", "sample", "ids", "n_pieces", "log_prob", "perturbed", "log_inclusion"],
-                )
+                columns = [ids, *(pa.array(c, kind) for c, kind in zip(found[1:], kinds))]
+                names = ["doc_id", "sample", "ids", "n_pieces", "log_prob", "perturbed", "log_inclusion"]
+                if decoded:
+                    columns.append(pa.array([pieces.decoded(np.frombuffer(x, "<u2")).decode() for x in found[2]], pa.string()))
+                    names.append("text")
+                yield pa.RecordBatch.from_arrays(columns, names=names)
                 row = stop
 
     return run
 
 
-def sample_segmentations(docs: DataFrame, k: int = SAMPLES, seed: int = SEED, path: str | None = None) -> DataFrame:
+def sample_segmentations(
+    docs: DataFrame, k: int = SAMPLES, seed: int = SEED, path: str | None = None, decoded: bool = False
+) -> DataFrame:
     """doc_id, sample (from 1, by falling perturbed score), ids (unsigned 16-bit, little-endian),
-    n_pieces, log_prob, perturbed and log_inclusion of at most k segmentations of each row."""
+    n_pieces, log_prob, perturbed and log_inclusion of at most k segmentations of each row.  With
+    ``decoded`` the text that the ids stand for follows, made in the same pass."""
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text",
         F.xxhash64(F.col("doc_id").cast("long"), F.lit("row")).alias("key"),
     )
-    return rows.mapInArrow(_sampler(path or model_path(), k, seed), _SAMPLES)
+    schema = _SAMPLES + (", text string" if decoded else "")
+    return rows.mapInArrow(_sampler(path or model_path(), k, seed, decoded), schema)
 
 
 def decode(encoded: DataFrame, path: str | None = None, ids: str = "ids", out: str = "text") -> DataFrame:
@@ -461,7 +467,8 @@ def decode(encoded: DataFrame, path: str | None = None, ids: str = "ids", out: s
 
 
 def op5_piece_samples(spark, sf_dir: str) -> DataFrame:
-    found = decode(sample_segmentations(table(spark, sf_dir, "documents")))
+    # Decoded in the pass that samples: a second pass would need as many Python workers again.
+    found = sample_segmentations(table(spark, sf_dir, "documents"), decoded=True)
     return found.select(
         "doc_id", "sample", "n_pieces", F.crc32("ids").alias("ids_crc32"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
         "log_prob", "perturbed", "log_inclusion",

@@ -120,6 +120,7 @@ def test_round_trip_and_odd_tables(spark, pieces):
     rows = [(i, t, "x", 9) for i, t in enumerate(TEXTS)] + [(None, "null id", "x", 9), (3, TEXTS[3], "x", 9)]
     df = spark.createDataFrame(rows, SCHEMA)
     got = sp.decode(sp.sample_segmentations(df)).collect()
+    assert sorted(map(repr, sp.sample_segmentations(df, decoded=True).collect())) == sorted(map(repr, got))
     for i, text in enumerate(TEXTS):
         own = [r for r in got if r.doc_id == i]
         assert {r.text for r in own} == {text or ""}, i
