@@ -245,6 +245,51 @@ def _cut_gumbel(location: np.ndarray, most: np.ndarray, u: np.ndarray) -> np.nda
         return np.where(location == -np.inf, -np.inf, location - np.log(np.exp(location - most) - np.log(u)))
 
 
+class _Family:
+    """The sets along one path: texts, places and priorities, and what branches already took."""
+
+    def __init__(self, chunk, starts, ends, text_of, seeds, path, texts, branch, taken, perturbed):
+        docs = len(starts)
+        at = np.flatnonzero(path >= 0)
+        edge = path[at]
+        lp = chunk.logp[edge]
+        whose = text_of[at]
+        first = np.searchsorted(at, starts[texts])
+        size = np.searchsorted(at, ends[texts]) - first
+        before = np.empty(len(lp))  # sums within each text alone, so that no neighbour rounds them
+        for a, b in zip(first.tolist(), (first + size).tolist()):
+            before[a] = 0.0
+            np.cumsum(lp[a:b - 1], out=before[a + 1:b])
+        with np.errstate(divide="ignore"):
+            location = before + np.log1p(-np.minimum(np.exp(lp), 1.0))
+        location[at < branch[whose]] = -np.inf
+        for t, gone in taken.items():  # at a branch, edges taken before are left out as well
+            i = np.searchsorted(at, branch[t])
+            rest = 1 - np.exp(chunk.logp[[*gone, path[branch[t]]]]).sum()
+            node = chunk.src[path[branch[t]]]
+            if len(gone) + 1 >= chunk.first[node + 1] - chunk.first[node] or rest <= 0:
+                location[i] = -np.inf
+            else:
+                location[i] = before[i] + np.log(rest)
+        alone = chunk.first[chunk.src[edge] + 1] - chunk.first[chunk.src[edge]] == 1
+        location[alone] = -np.inf
+        self.path, self.texts, self.branch, self.taken = path, texts, branch, taken
+        self.docs, self.text_of = docs, text_of
+        self.at, self.first, self.size = at, first, size
+        self.priority = _cut_gumbel(location, perturbed[whose], _uniform(seeds[whose], at))
+        self.logp = np.zeros(docs)
+        self.logp[texts] = np.add.reduceat(lp, first)
+
+    def best(self):
+        """(priority, index into ``at``) of the best set for each text of the chunk."""
+        top = np.full(self.docs, -np.inf)
+        top[self.texts] = np.maximum.reduceat(self.priority, self.first)
+        hit = np.flatnonzero(self.priority == np.repeat(top[self.texts], self.size))
+        index = np.zeros(self.docs, np.int64)
+        index[self.text_of[self.at[hit[::-1]]]] = hit[::-1]
+        return top, index
+
+
 def sampled(pieces: Pieces, codes: np.ndarray, starts: np.ndarray, seeds: np.ndarray, k: int):
     """(edges' chunk, samples): each sample is (texts, path, logp, perturbed, kappa) where ``path``
     holds an edge at the place of each piece's first character, and -1 elsewhere.
@@ -279,55 +324,12 @@ def sampled(pieces: Pieces, codes: np.ndarray, starts: np.ndarray, seeds: np.nda
             np.concatenate([chunk.end[units], chunk.end[unit]]), np.concatenate([own[whose], own[texts[part]]]),
         )
 
-    class Family:
-        """The sets along one path: texts, places and priorities, and what branches already took."""
-
-        def __init__(self, path, texts, branch, taken, perturbed, number):
-            at = np.flatnonzero(path >= 0)
-            edge = path[at]
-            lp = chunk.logp[edge]
-            whose = text_of[at]
-            first = np.searchsorted(at, starts[texts])
-            size = np.searchsorted(at, ends[texts]) - first
-            before = np.empty(len(lp))  # sums within each text alone, so that no neighbour rounds them
-            for a, b in zip(first.tolist(), (first + size).tolist()):
-                before[a] = 0.0
-                np.cumsum(lp[a:b - 1], out=before[a + 1:b])
-            with np.errstate(divide="ignore"):
-                location = before + np.log1p(-np.minimum(np.exp(lp), 1.0))
-            location[at < branch[whose]] = -np.inf
-            for t, gone in taken.items():  # at a branch, edges taken before are left out as well
-                i = np.searchsorted(at, branch[t])
-                rest = 1 - np.exp(chunk.logp[[*gone, path[branch[t]]]]).sum()
-                node = chunk.src[path[branch[t]]]
-                if len(gone) + 1 >= chunk.first[node + 1] - chunk.first[node] or rest <= 0:
-                    location[i] = -np.inf
-                else:
-                    location[i] = before[i] + np.log(rest)
-            alone = chunk.first[chunk.src[edge] + 1] - chunk.first[chunk.src[edge]] == 1
-            location[alone] = -np.inf
-            own = stream(number)
-            self.path, self.texts, self.branch, self.taken = path, texts, branch, taken
-            self.at, self.first, self.size = at, first, size
-            self.priority = _cut_gumbel(location, perturbed[whose], _uniform(own[whose], at))
-            self.logp = np.zeros(docs)
-            self.logp[texts] = np.add.reduceat(lp, first)
-
-        def best(self):
-            """(priority, index into ``at``) of the best set for each text of the chunk."""
-            top = np.full(docs, -np.inf)
-            top[self.texts] = np.maximum.reduceat(self.priority, self.first)
-            hit = np.flatnonzero(self.priority == np.repeat(top[self.texts], self.size))
-            index = np.zeros(docs, np.int64)
-            index[text_of[self.at[hit[::-1]]]] = hit[::-1]
-            return top, index
-
     path = np.full(n, -1, np.int64)
     texts = np.arange(docs)
     finish(path, texts, starts, 1)
     u = _uniform(stream(2), starts)
     perturbed = -np.log(-np.log(u))
-    families = [Family(path, texts, starts.copy(), {}, perturbed, 3)]
+    families = [_Family(chunk, starts, ends, text_of, stream(3), path, texts, starts.copy(), {}, perturbed)]
     out = [[texts, path, families[0].logp, perturbed.copy()]]
     for s in range(1, k + 1):
         tops, at = zip(*(f.best() for f in families))
@@ -358,7 +360,7 @@ def sampled(pieces: Pieces, codes: np.ndarray, starts: np.ndarray, seeds: np.nda
             after[i] = place + chunk.dst[edge] - node
         finish(path, texts, after, 10 * s + 1)
         perturbed = np.where(best > -np.inf, best, 0.0)
-        families.append(Family(path, texts, branch, taken, perturbed, 10 * s + 2))
+        families.append(_Family(chunk, starts, ends, text_of, stream(10 * s + 2), path, texts, branch, taken, perturbed))
         out.append([texts, path, families[-1].logp, best.copy()])
     return chunk, out, kappa
 
