@@ -1,13 +1,14 @@
 """Mixture-controlled packing: deficit round-robin over source queues into fixed windows.
 
 Each source is a queue of its documents.  A round is one window's worth of tokens, of which every
-queue is granted its target share; what a queue cannot spend on whole documents stays as its
-deficit for the next round, across windows and partitions.  A document leaves its queue in the
-first round in which the grants so far cover it and everything before it, which is the number
-``ceil(tokens up to and with it / grant per round)``: the round-robin's order follows from running
-sums, and no queue is walked.  The documents in order of (round, source, place in the queue) form
-one stream, cut every ``window`` tokens; a document is cut only there.  Every sequence but the last
-is full, so padding is less than one window in all.
+queue is granted its target share and spends it, and a document is cut where the grant ends; parts
+of a token stay as the queue's deficit for the next round, across windows and partitions.  A queue
+whose grant is under LEAST tokens saves it and spends every few rounds, at rounds that differ by
+queue, so no piece is that short for it and a window is off a target by some LEAST tokens.  A token
+leaves its queue in the first of these rounds in which the grants so far cover it and everything
+before it: the round-robin's order follows from running sums, and no queue is walked.  The parts in
+order of (round, source, place in the queue) form one stream, cut every ``window`` tokens.  Every
+sequence but the last is full, so padding is less than one window in all.
 
 Shares default to each source's part of all tokens, so all queues end together; with given weights
 a queue that ends early leaves its share to the others, in proportion.
@@ -38,6 +39,7 @@ WINDOW = 2048
 CLOSING = 1
 TOKENIZER = "word_bpe_49k.json"
 MOST_CELLS = 100_000
+LEAST = 32  # tokens that a queue saves up before it spends them
 
 _OPEN: dict = {}
 
@@ -97,7 +99,8 @@ def _running(rows: DataFrame, group: list[str], cell: str, order: list[str], n:
 
 
 def placed(tokens: DataFrame, weights: dict[str, float] | None = None, window: int = WINDOW) -> DataFrame:
-    """row, tokens, first: the place of each document's first token in the packed stream."""
+    """row, start, tokens, first: the parts of each document, and the place of their first token in
+    the packed stream."""
     rows = tokens.select("row", F.coalesce("source", F.lit("")).alias("queue"),
                          F.col("source").isNull().alias("unnamed"), "tokens")
     queue = ["queue", "unnamed"]
@@ -112,18 +115,37 @@ def placed(tokens: DataFrame, weights: dict[str, float] | None = None, window: i
         ).withColumn("weight", F.coalesce("weight", F.lit(least)))
     sums = shares.agg(F.sum("weight"), F.sum("queued"), F.max(F.col("queued") / F.col("weight"))).first()
     if sums[0] is None:
-        return tokens.select("row", "tokens", F.lit(0).cast("long").alias("first"))
-    grant = shares.select(*queue, (F.col("weight") / F.lit(sums[0]) * window).alias("grant"))
+        return tokens.select("row", F.lit(0).cast("long").alias("start"), "tokens", F.lit(0).cast("long").alias("first"))
+    grant = shares.select(*queue, (F.col("weight") / F.lit(sums[0]) * window).alias("grant")).withColumn(
+        "every", F.greatest(F.lit(1), F.ceil(F.lit(LEAST) / F.col("grant"))).cast("long")
+    ).withColumn("phase", F.pmod(F.xxhash64(*queue), F.col("every")))
 
     queued = _running(rows.withColumn("part", F.shiftright("row", 33)), queue, "part", ["row"], "tokens", "upto")
-    rounds = queued.join(grant, queue).withColumn("round", F.ceil(F.col("upto") / F.col("grant")))
+    # Spending t is in round t * every + phase, and reaches the place ``spent`` of its queue.
+    spending = lambda n: F.greatest(F.lit(0), F.ceil((n / F.col("grant") - F.col("phase")) / F.col("every"))).cast("long")
+    spent = lambda t: F.least(F.greatest(
+        F.floor((t * F.col("every") + F.col("phase")) * F.col("grant")).cast("long"), F.col("low")), F.col("upto"))
+    turn = F.col("turn")
+    parts = (
+        queued.join(grant, queue).withColumn("low", F.col("upto") - F.col("tokens"))
+        .withColumns({"one": spending(F.col("low") + 1), "last": spending(F.col("upto"))})
+        .withColumn("turn", F.explode(F.sequence("one", F.greatest("one", "last"))))
+        .withColumns({
+            "begin": F.when(turn == F.col("one"), F.col("low")).otherwise(spent(turn - 1)),
+            "stop": F.when(turn >= F.col("last"), F.col("upto")).otherwise(spent(turn)),
+            "round": turn * F.col("every") + F.col("phase"),
+        })
+        .filter("stop > begin")
+    )
+    rounds = parts.select("row", *queue, "round", (F.col("begin") - F.col("low")).alias("start"),
+                          (F.col("stop") - F.col("begin")).alias("tokens"))
     last = sums[2] * sums[0] / window  # the number of rounds
     stretch = max(16, int(last // MOST_CELLS) + 1)
     streamed = _running(
         rounds.withColumn("cell", F.expr(f"round DIV {stretch}L")).withColumn("_all", F.lit(0)),
-        ["_all"], "cell", ["round", "queue", "unnamed", "row"], "tokens", "end",
+        ["_all"], "cell", ["round", "queue", "unnamed", "row", "start"], "tokens", "end",
     )
-    return streamed.select("row", "tokens", (F.col("end") - F.col("tokens")).alias("first"))
+    return streamed.select("row", "start", "tokens", (F.col("end") - F.col("tokens")).alias("first"))
 
 
 def pack_documents(
@@ -140,16 +162,22 @@ def pack_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = {k: [] for k in ("at", "start", "length", "ids", "sequence_id", "offset")}
-            first, n = batch.column("first").to_numpy(), batch.column("tokens").to_numpy()
+            parts = batch.column("parts").to_pylist()
             for i, ids in enumerate(batch.column("ids")):
                 whole = np.frombuffer(ids.as_buffer(), "<u2").astype("<u4")
-                done = 0
-                while done < n[i]:
-                    place = int(first[i]) + done
-                    length = min(int(n[i]) - done, window - place % window)
-                    for k, v in zip(out, (i, done, length, whole[done:done + length].tobytes(), place // window, place % window)):
-                        out[k].append(v)
-                    done += length
+                joined: list[list[int]] = []  # start, tokens, first: parts in a row are one
+                for part in parts[i]:
+                    if joined and joined[-1][2] + joined[-1][1] == part["first"]:
+                        joined[-1][1] += part["tokens"]
+                    else:
+                        joined.append([part["start"], part["tokens"], part["first"]])
+                for done, n, place in joined:
+                    stop = done + n
+                    while done < stop:
+                        length = min(stop - done, window - place % window)
+                        for k, v in zip(out, (i, done, length, whole[done:done + length].tobytes(), place // window, place % window)):
+                            out[k].append(v)
+                        done, place = done + length, place + length
             own = batch.select(["doc_id", "source", "tokens"]).take(pa.array(out["at"], pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [own.column("doc_id"), own.column("source"), pa.array(out["start"], pa.int64()),
@@ -158,7 +186,10 @@ def pack_documents(
                 names=["doc_id", "source", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
             )
 
-    pieces = tokens.join(places.select("row", "first"), "row").select("doc_id", "source", "tokens", "ids", "first").mapInArrow(
+    parts = places.groupBy("row").agg(  # at most a document's tokens
+        F.sort_array(F.collect_list(F.struct("start", "tokens", "first"))).alias("parts")
+    )
+    pieces = tokens.join(parts, "row").select("doc_id", "source", "tokens", "ids", "parts").mapInArrow(
         run, "doc_id long, source string, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
     )
     return pieces.withColumn(

@@ -93,3 +93,19 @@ def test_odd_tables(spark):
     assert packing.pack_documents(empty).collect() == []
     one = packing.pack_documents(spark.createDataFrame([(1, None, None, 2, "x")], SCHEMA)).collect()
     assert [(p.length, p.doc_tokens, p.padded_length) for p in one] == [(1, 1, 1)]
+
+
+def test_every_window_holds_every_share(spark):
+    """Documents much longer than a source's part of a window; small sources save up their parts."""
+    rng = random.Random(6)
+    rows = [(i, "the " * rng.randint(200, 1500), f"s{i % 20}", 0, "") for i in range(600)]
+    rows += [(600 + i, "the " * 300, f"small{i % 10}", 0, "") for i in range(20)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    totals, held = defaultdict(int), defaultdict(lambda: defaultdict(int))
+    for p in packing.pack_documents(frame).collect():
+        totals[p.source] += p.length
+        held[p.sequence_id][p.source] += p.length
+    last, whole = max(held), sum(totals.values())
+    assert last > 100
+    off = [max(abs(held[s][k] / 2048 - n / whole) for k, n in totals.items()) for s in range(last)]
+    assert sorted(off)[last // 2] < 0.03 and max(off) < 0.06
