@@ -11,7 +11,8 @@ length L is covered by the intervals of depth 2^k <= L that start inside it.  Co
 whose originals are consecutive too are chained into maximal runs.
 
 Every line of a later copy is deleted if the run has at least two lines, or if it is one line of
-at least ``min_words`` words; short single lines stay.  Order is by document id, then by a hash of
+at least MIN_WORDS words, or of MIN_SIGNS characters of scripts written without blanks; other single
+lines stay.  Order is by document id, then by a hash of
 the text for equal ids, then by line.
 
 Nothing holds a whole interval: intervals are counts and minima (summed before the shuffle), ranks
@@ -34,6 +35,8 @@ from pyspark.sql import functions as F
 from .tables import NO_ID, stored, table
 
 MIN_WORDS = 5
+MIN_SIGNS = 10  # characters that stand for MIN_WORDS words in scripts written without blanks
+NO_BLANKS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
 DOC = ["_did", "_dkey"]
 
 
@@ -52,7 +55,7 @@ def line_table(docs: DataFrame) -> DataFrame:
     words = F.size(F.split(F.trim("said"), r"\s+"))
     return lines.filter(F.col("said").rlike(r"\S")).select(
         *DOC, "at", F.xxhash64("said").alias("a"), F.crc32(F.col("said").cast("binary")).alias("b"),
-        (words >= MIN_WORDS).alias("long"),
+        ((words >= MIN_WORDS) | F.col("said").rlike(f"(?:[{NO_BLANKS}][^{NO_BLANKS}]*+){{{MIN_SIGNS}}}")).alias("long"),
     ).repartition(*DOC).dropDuplicates([*DOC, "at"])  # the repartition serves the numbering, too
 
 

@@ -179,3 +179,10 @@ def test_native_plans_hold_no_python(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Pandas" not in plan and "CartesianProduct" not in plan
     assert docs.select(F.count("*")).first()[0] == 2
+
+
+def test_single_lines_without_blanks(spark):
+    lines = ["这是一个在许多网页上重复出现的长句子。", "すべての権利は著作権者に帰属します。", "สงวนลิขสิทธิ์ตามกฎหมายทุกประการ", "短句子", "two words"]
+    texts = [f"start {d}{k}\n{s}\nend {d}{k}" for k, s in enumerate(lines) for d in "ab"]
+    got = {r.doc_id: r.n_deleted for r in line_dedup.dedup_lines(frame(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == [0, 1, 0, 1, 0, 1, 0, 0, 0, 0]
