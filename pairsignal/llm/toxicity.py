@@ -252,8 +252,8 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sample_of(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """text and toxic of at most 2 * size labelled rows outside the held-out third; equal texts of
-    one label once."""
+    """text and toxic of at most 2 * size labelled rows outside the held-out third; of several texts
+    with one id the one with the smallest hash, equal texts of one label once."""
     known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(
         F.max((F.col("toxic") == 1).cast("int")).alias("toxic")
     ).filter(~held_out(F.col("doc_id")))
@@ -262,7 +262,8 @@ def sample_of(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFra
         known.filter("toxic = 0").orderBy(order, "doc_id").limit(size)
     )
     found = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # at most 2 * size rows
-    return found.select("toxic", "text").dropDuplicates()
+    one = found.groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("m"))
+    return one.select("toxic", "m.text").dropDuplicates()
 
 
 def _stems_of(text: str | None) -> set[str]:

@@ -112,3 +112,12 @@ def test_odd_tables(spark):
         assert base is None or got[0].score == base
         assert not any(math.isnan(r.score) for r in got)
     assert tox.score_documents(df.limit(0), tox.Grammar()).collect() == []
+
+
+def test_one_text_for_each_sampled_id(spark):
+    rows = [(i % 3 if i < 90 else i, f"text {i}", "x", i % 2) for i in range(120)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, toxic int")
+    for size in (2, 10, 1000):
+        got = [r.text for r in tox.sample_of(df, labels, size).collect()]
+        assert len(got) <= 2 * size and sum(int(t.split()[1]) < 90 for t in got) <= 3
