@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import NO_ID, stored, table
+from .tables import NO_ID, by_place, stored, table
 
 MIN_WORDS = 5
 MIN_SIGNS = 10  # characters that stand for MIN_WORDS words in scripts written without blanks
@@ -191,8 +191,9 @@ def op9_line_runs(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents without later copies of line runs; those left with none go."""
-    done = dedup_lines(docs)
+    apart = by_place(docs)
+    done = dedup_lines(apart)
     left = done.filter((F.col("n_deleted") == 0) | F.col("text").isNotNull())
-    return left.select(
-        *[F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
-    )
+    return left.select(*[
+        (F.length("text").cast("long") if c == "n_chars" else F.col(own)).alias(c) for c, own in zip(docs.columns, apart.columns)
+    ])

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .tables import NO_ID, deleted, stored, table
+from .tables import NO_ID, by_place, deleted, stored, table
 from .words import MIXERS, mixed, shingle_set, shingles, text_chunks, word_hashes
 
 WIDTH, PERCENT = 4, 85  # of the registered query
@@ -287,8 +287,8 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
         .join(rows, "uid").select(did.alias("_did"), "t1", "t2", (F.col("n") == 0).alias("_all")).distinct()
         .withColumnsRenamed({"t1": "_t1", "t2": "_t2"})
     )
-    text = F.col("text")
-    keyed = docs.withColumns({
+    text, apart = F.col("text"), by_place(docs)
+    keyed = apart.withColumns({
         "_did": did, "_t1": F.xxhash64(text), "_t2": F.crc32(text.cast("binary")),
     }).withColumn("_t2", F.coalesce("_t2", F.lit(-1)))
     kept = kept.withColumn("_t2", F.coalesce("_t2", F.lit(-1)))
@@ -296,5 +296,5 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     return (
         keyed.join(kept, ["_did", "_t1", "_t2"])
         .withColumn("_row", F.row_number().over(again)).filter("_all OR _row = 1")
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+        .select(*apart.columns).toDF(*docs.columns)
     )

@@ -16,6 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def by_place(docs: DataFrame) -> DataFrame:
+    """``docs`` with its columns but doc_id and text named by their place, so that helper columns of
+    a stage clash with none of them."""
+    return docs.toDF(*[c if c in ("doc_id", "text") else f"_column{i}" for i, c in enumerate(docs.columns)])
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts its lineage and outlives executors."""
     spark = df.sparkSession

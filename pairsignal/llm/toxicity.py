@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import stored, table
+from .tables import by_place, stored, table
 
 SAMPLE = 4000  # toxic rows and other rows, each, that a fit uses at most
 THRESHOLD = 0.7
@@ -408,5 +408,6 @@ def op1_toxicity(spark, sf_dir: str) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that are not predicted to be toxic."""
     grammar = fit(docs, table(spark, sf_dir, "labels"))
-    kept = docs.withColumn("_score", score_column(grammar, F.col("text"))).filter(F.col("_score") < THRESHOLD)
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    apart = by_place(docs)
+    kept = apart.withColumn("_score", score_column(grammar, F.col("text"))).filter(F.col("_score") < THRESHOLD)
+    return kept.drop("_score").toDF(*docs.columns)

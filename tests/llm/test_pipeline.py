@@ -96,3 +96,15 @@ def test_stages_keep_the_columns(spark, folder):
         assert out.schema == docs.schema or [f.simpleString() for f in out.schema] == [f.simpleString() for f in docs.schema], name
         assert stage(spark, docs.limit(0), folder).collect() == [], name
     assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), folder).collect() == []
+
+
+NAMES = ("n_lines", "n_deleted", "longest_run", "cut_words", "_did", "_dkey", "_spans", "_gone", "_score", "_t1", "_row", "_all")
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES[:-1])
+def test_stages_keep_columns_named_like_their_own(spark, folder, name, stage):
+    passage = " ".join(f"word{i}" for i in range(70))
+    rows = [(1, f"one two\n{passage}", *NAMES), (2, f"{passage}\nthree", *NAMES), (3, "four five six", *NAMES)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", *NAMES])
+    out = stage(spark, docs, folder).collect()
+    assert out and all(r[c] == c for r in out for c in NAMES)
