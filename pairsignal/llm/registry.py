@@ -16,6 +16,8 @@ QUERIES = {
     "op8_embedding_dedup": "embedding_dedup",
     "op9_line_runs": "line_dedup",
     "op10_packing": "packing",
+    "op11_conversation_repair": "conversation_repair",
+    "op12_importance_resample": "importance",
 }
 
 
@@ -25,6 +27,10 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import top_k, url_filters
+    from . import importance, top_k, url_filters
 
-    return {"op4_url_filters": url_filters.ORACLE, "op6_nra_top_k": top_k.ORACLE}
+    return {
+        "op4_url_filters": url_filters.ORACLE, "op6_nra_top_k": top_k.ORACLE,
+        "op11_conversation_repair": "conversation_repair",
+    "op12_importance_resample": importance.ORACLE,
+    }

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +18,32 @@ NO_ID = -(2**63)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Brings this package to the Python workers, once for a context, wherever the driver started.
+
+    The context serves the archive, a file of the driver's that goes with its process.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_pairsignal_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="pairsignal-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "pairsignal.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for top, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(top, name)
+                    archive.write(full, os.path.relpath(full, os.path.dirname(package)))
+    context.addPyFile(path)
+    context._pairsignal_shipped = True
+
+
 def by_place(docs: DataFrame) -> DataFrame:
     """``docs`` with its columns but doc_id and text named by their place, so that helper columns of
     a stage clash with none of them."""
@@ -25,6 +53,7 @@ def by_place(docs: DataFrame) -> DataFrame:
 def stored(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts its lineage and outlives executors."""
     spark = df.sparkSession
+    ship(spark)
     path = f"{shared_folder(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
