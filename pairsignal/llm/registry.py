@@ -18,6 +18,7 @@ QUERIES = {
     "op10_packing": "packing",
     "op11_conversation_repair": "conversation_repair",
     "op12_importance_resample": "importance",
+    "op13_run_length_index": "run_length_index",
 }
 
 
