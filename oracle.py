@@ -8,7 +8,7 @@ power series, and the truncated sums are written out.
 from __future__ import annotations
 
 from pairsignal.fixtures import DEMO_HEADER, DRUG_HEADER, REACT_HEADER
-from pairsignal.operators.fit import PLAIN_START
+from pairsignal.operators.fit import PLAIN_START, random_starts
 from pairsignal.schema import DEFAULT_PARAMS, FULL_STRATA, YEAR_STRATA
 
 SEX = "CASE o_orderstatus WHEN 'F' THEN 'F' WHEN 'O' THEN 'M' ELSE 'U' END"
@@ -232,9 +232,8 @@ node AS (SELECT row_number() OVER (ORDER BY label) - 1 AS id, label FROM label)"
 K = "k"  # the counted number in a lambda
 
 
-def _truncated(i: int) -> dict[str, str]:
+def _truncated(i: int, a: float | str, b: float | str) -> dict[str, str]:
     """ln f, the sum below nstar, and the derivatives of component ``i``, written out."""
-    a, b = (P.alpha1, P.beta1) if i == 1 else (P.alpha2, P.beta2)
     f_k = f"exp({_ln_f('k', 'e', a, b)})"
     harmonic = lambda n: f"coalesce(list_sum(list_transform(range(0, {n}), lambda j: 1 / ({a} + j))), 0)"
     total = lambda term: f"list_sum(list_transform(range(0, nstar), lambda k: {term}))"
@@ -250,7 +249,7 @@ def _truncated(i: int) -> dict[str, str]:
 
 FITTED = f"""{SQUASHED},
 bottom AS (SELECT *, (SELECT min(n) FROM cell) AS nstar FROM cell),
-parts AS (SELECT n, w, e, {', '.join(f'{sql} AS {c}' for c, sql in (_truncated(1) | _truncated(2)).items())} FROM bottom),
+parts AS (SELECT n, w, e, {', '.join(f'{sql} AS {c}' for c, sql in (_truncated(1, P.alpha1, P.beta1) | _truncated(2, P.alpha2, P.beta2)).items())} FROM bottom),
 mixed AS (
   SELECT *, {P.p} * exp(ln1) AS x1, {1 - P.p} * exp(ln2) AS x2 FROM parts)"""
 
@@ -279,6 +278,125 @@ def _step() -> str:
     )
 
 
+# The fit as a recursive query: the same EM steps, step lengths, extrapolations and stopping rule, with
+# the whole likelihood written out for each theta that is tried.  ``FIT_LIMIT`` bounds ln alpha and ln
+# beta, as the queries do: the counts here are as good as Poisson, so alpha runs to any limit.
+FIT_LIMIT = 8.0
+THETA = ("a1", "b1", "a2", "b2", "p")
+SUMS = ("loglik", "w", "wr") + tuple(f"{k}{i}" for i in (1, 2) for k in ("u", "v", "uu", "uv", "vv"))
+
+
+def _struct(fields: dict[str, str]) -> str:
+    return "struct_pack(" + ", ".join(f"{k} := {v}" for k, v in fields.items()) + ")"
+
+
+def _sums_over_cells(source: str, keep: str) -> str:
+    """The sums of each row (start, j, theta) of ``source`` over all cells, as struct ``sums``."""
+    terms = _truncated(1, "a1", "b1") | _truncated(2, "a2", "b2")
+    sums = {"loglik": "sum(w * ln(x1 + x2))", "w": "sum(w)", "wr": "sum(w * x1 / (x1 + x2))"}
+    for i in (1, 2):
+        wr, u, v = f"w * x{i} / (x1 + x2)", f"(a{i} * da{i})", f"(b{i} * db{i})"
+        sums |= {f"{k}{i}": f"sum({wr} * {x})" for k, x in
+                 (("u", u), ("v", v), ("uu", f"{u} * {u}"), ("uv", f"{u} * {v}"), ("vv", f"{v} * {v}"))}
+    theta = _struct({k: k for k in THETA})
+    return (
+        f"SELECT start, j, any_value({theta}) AS theta, {keep}, {_struct(sums)} AS sums "
+        f"FROM (SELECT *, p * exp(ln1) AS x1, (1 - p) * exp(ln2) AS x2 FROM (SELECT *, "
+        f"{', '.join(f'{sql} AS {c}' for c, sql in terms.items())} FROM ({source}) CROSS JOIN fit_cell)) GROUP BY start, j"
+    )
+
+
+def _candidates() -> str:
+    """The thetas to try from each active state: four step lengths, and two extrapolations after a
+    whole step."""
+    limit, least = FIT_LIMIT, "1e-12"
+    share = f"least(greatest(s.sums.wr / s.sums.w, {least}), 1 - {least})"
+    moves = []
+    for i in (1, 2):
+        t = lambda k: f"s.sums.{k}{i}"  # noqa: B023, E731
+        ridge = f"(1e-8 * ({t('uu')} + {t('vv')}) + 1e-12)"
+        det = f"(({t('uu')} + {ridge}) * ({t('vv')} + {ridge}) - {t('uv')} * {t('uv')})"
+        moves += [f"(({t('vv')} + {ridge}) * {t('u')} - {t('uv')} * {t('v')}) / {det} AS mu{i}",
+                  f"(({t('uu')} + {ridge}) * {t('v')} - {t('uv')} * {t('u')}) / {det} AS mv{i}"]
+    short = {i: f"least(1, 2 / greatest(sqrt(mu{i} * mu{i} + mv{i} * mv{i}), 1e-300))" for i in (1, 2)}
+
+    def bounded(la: str, lb: str) -> tuple[str, str]:
+        """Logs moved together into the limits."""
+        down = f"greatest(0, greatest({la}, {lb}) - {limit})"
+        up = f"greatest(0, -{limit} - (least({la}, {lb}) - {down}))"
+        return tuple(f"exp(least({x} - {down} + {up}, {limit}))" for x in (la, lb))
+
+    def theta(c: float) -> dict[str, str]:
+        out = {}
+        for i in (1, 2):
+            logs = [f"(ln(s.theta.{k}{i}) + {c} * {short[i]} * {m}{i})" for k, m in (("a", "mu"), ("b", "mv"))]
+            out |= dict(zip((f"a{i}", f"b{i}"), bounded(*logs)))
+        return out | {"p": share}
+
+    steps = ", ".join(f"{_struct(theta(c))} AS step{j}" for j, c in enumerate((1.0, 0.3, 0.05, 0.0)))
+    free = lambda t, k: f"ln({t}.p / (1 - {t}.p))" if k == "p" else f"ln({t}.{k})"
+    coords = ", ".join(
+        f"{free('s.before', k)} AS {k}_0, {free('s.theta', k)} - {free('s.before', k)} AS {k}_r, "
+        f"{free('step0', k)} - 2 * {free('s.theta', k)} + {free('s.before', k)} AS {k}_v" for k in THETA)
+    norm = lambda c: f"sqrt({' + '.join(f'{k}_{c} * {k}_{c}' for k in THETA)})"
+
+    def far(c: str) -> str:
+        x = {k: f"({k}_0 + 2 * {c} * {k}_r + {c} * {c} * {k}_v)" for k in THETA}
+        odds = f"exp(least(greatest({x['p']}, -700), 700))"
+        (a1, b1), (a2, b2) = bounded(x["a1"], x["b1"]), bounded(x["a2"], x["b2"])
+        return _struct({"a1": a1, "b1": b1, "a2": a2, "b2": b2,
+                        "p": f"least(greatest({odds} / (1 + {odds}), {least}), 1 - {least})"})
+
+    tried = "list_value(step0, step1, step2, step3) || CASE WHEN reach > 1 THEN list_value(" \
+        f"{far('least(reach, 16)')}, {far('((least(reach, 16) + 1) / 2)')}) ELSE [] END"
+    return (
+        f"SELECT start, pass, s, unnest({tried}) AS theta, generate_subscripts({tried}, 1) - 1 AS j FROM ("
+        f"SELECT *, {norm('r')} / greatest({norm('v')}, 1e-300) AS reach FROM (SELECT *, {coords} FROM ("
+        f"SELECT *, {steps} FROM (SELECT *, {', '.join(moves)} FROM fit WHERE s.active AND pass < 100))))"
+    )
+
+
+def _fit(starts: list) -> str:
+    """CTEs up to ``fitted``: start, loglik, iterations, converged and at_limit of every start."""
+    rows = ", ".join(
+        f"({i}, 0, {', '.join(f'{float(x)!r}::DOUBLE' for x in (t.alpha1, t.beta1, t.alpha2, t.beta2, t.p))})"
+        for i, t in enumerate(starts)
+    )
+    none = _struct({k: "NULL::DOUBLE" for k in THETA})
+    first = _sums_over_cells(f"SELECT * FROM (VALUES {rows}) v(start, j, a1, b1, a2, b2, p)", "0 AS pass")
+    tried = _sums_over_cells(
+        f"SELECT start, j, pass, s, {', '.join(f'theta.{k} AS {k}' for k in THETA)} FROM ({_candidates()})",
+        "any_value(pass) AS pass, any_value(s) AS s")
+    state = {"theta": "theta", "before": none, "sums": "sums", "iterations": "0", "active": "true"}
+    gain = "best.sums.loglik - s.sums.loglik"
+    then = {
+        "theta": f"CASE WHEN {gain} > 0 THEN best.theta ELSE s.theta END",
+        "before": f"CASE WHEN {gain} > 0 AND best.j = 0 THEN s.theta WHEN {gain} > 0 THEN {none} ELSE s.before END",
+        "sums": f"CASE WHEN {gain} > 0 THEN best.sums ELSE s.sums END",
+        "iterations": f"s.iterations + CASE WHEN {gain} > 0 THEN 1 ELSE 0 END",
+        "active": f"{gain} > 0.01",
+    }
+    edge = f"{FIT_LIMIT - 1e-9}"
+    at_limit = " OR ".join(f"abs(ln(s.theta.{k})) >= {edge}" for k in THETA[:4])
+    return f"""{SQUASHED},
+fit_cell AS MATERIALIZED (
+  SELECT n::BIGINT AS n, w::DOUBLE AS w, e::DOUBLE AS e, (SELECT min(n) FROM cell) AS nstar FROM cell),
+fit AS (
+  SELECT start, pass, {_struct(state)} AS s FROM ({first})
+  UNION ALL
+  SELECT start, pass + 1, {_struct(then)} AS s
+  FROM (SELECT start, any_value(pass) AS pass, any_value(s) AS s,
+          list({_struct({'theta': 'theta', 'sums': 'sums', 'j': 'j'})} ORDER BY sums.loglik DESC, j DESC)[1] AS best
+        FROM ({tried}) GROUP BY start)),
+fitted AS (
+  SELECT start::INT AS start, s.sums.loglik AS loglik, s.iterations::INT AS iterations, NOT s.active AS converged,
+    {at_limit} OR NOT (s.theta.p > 1e-9 AND s.theta.p < 1 - 1e-9) AS at_limit
+  FROM fit QUALIFY row_number() OVER (PARTITION BY start ORDER BY pass DESC) = 1)"""
+
+
+FIT_COLUMNS = "start, round(loglik, 1) AS loglik, iterations, converged, at_limit"
+
+
 def statements() -> dict[str, str]:
     full = ", ".join(FULL_STRATA)
     counted = {"demos": ("demo_lines", "demo"), "drugs": ("drug_lines", "drug"), "reactions": ("react_lines", "react")}
@@ -363,6 +481,11 @@ def statements() -> dict[str, str]:
             "FROM triple JOIN ebci_scale_found USING (actual, expected) JOIN ebci_found USING (actual, expected)",
         ),
         "fit_step": _with(FITTED, _step()),
+        "fit_mixture": _recursive(_fit([PLAIN_START]), f"SELECT {FIT_COLUMNS} FROM fitted"),
+        "fit_starts": _recursive(_fit(random_starts()), f"SELECT {FIT_COLUMNS} FROM fitted"),
+        "fit_mixture_multistart": _recursive(
+            _fit(random_starts()), f"SELECT {FIT_COLUMNS} FROM fitted ORDER BY fitted.loglik DESC, start LIMIT 1"
+        ),
         "read_report_lines": _with(SOURCES, " UNION ALL ".join(
             f"SELECT '{name}' AS source, count(*) AS n, CAST(sum(length(value)) AS BIGINT) AS chars, "
             f"min(value) AS first, max(value) AS last FROM {raw}" for name, (raw, _) in counted.items()

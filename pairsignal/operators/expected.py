@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairsignal.operators.counts import drug_counts, react_counts, stratum_counts
-from pairsignal.operators.pairs import BLOCK, pair_outcome_products
+from pairsignal.operators.pairs import BLOCK, item_outcome_products, item_pair_products, outcomes_of_pairs
 from pairsignal.operators.reports import ReportTables
 from pairsignal.operators.skew import ROWS_PER_SALT, heaviest_keys, join_spread, rows_of_keys
 from pairsignal.schema import Columns, DEFAULT_COLUMNS
@@ -77,6 +77,75 @@ def with_marginals(
     return join_spread(rows, counts, keys, hot, [cols.report])
 
 
+# A level is counted where it may take out this share of its rows; else its count costs more than it saves.
+WORTH_PRUNING = 0.25
+
+
+def _most_pruned(tables: ReportTables, n_drug: DataFrame, n_react: DataFrame, cols: Columns, min_actual: int) -> tuple[float, float]:
+    """The largest share of (item, outcome) rows and of item pair rows that can be infrequent.
+
+    Names that exist bound the pairs that exist, and an infrequent pair has fewer than ``min_actual``
+    rows, so no count of pairs is needed.  One row from each small table.
+    """
+    def names(counts: DataFrame, name: str, n: str) -> Column:
+        often = counts.groupBy(name).agg(F.sum(n).alias("total")).where(F.col("total") >= min_actual)
+        return often.agg(F.count("*")).scalar()
+
+    d = lambda c: F.col(c).cast("double")
+    rows = tables.reports.agg(
+        F.sum(d("n_items") * d("n_outcomes")).alias("crossed"), F.sum(d("n_items") * (d("n_items") - 1) / 2).alias("pairs")
+    )
+    found = rows.select("crossed", "pairs", names(n_drug, cols.item, "n_drug").alias("items"),
+                        names(n_react, cols.outcome, "n_react").alias("outcomes")).first()
+    share = lambda kinds, n: min(1.0, (min_actual - 1) * kinds / n) if n else 0.0
+    items = found["items"]
+    return share(items * found["outcomes"], found["crossed"]), share(items * (items - 1) / 2, found["pairs"])
+
+
+def _frequent(rows: DataFrame, names: list[str], min_actual: int) -> DataFrame:
+    """Name pairs with at least ``min_actual`` rows, and how many."""
+    return rows.groupBy(*names).agg(F.count("*").alias("rows_of_key")).where(F.col("rows_of_key") >= min_actual)
+
+
+def _rows_with(rows: DataFrame, frequent: DataFrame, names: list[str], cols: Columns, rows_per_salt: int) -> DataFrame:
+    hot = heaviest_keys(frequent, names, rows_per_salt=rows_per_salt)
+    return join_spread(rows, frequent.drop("rows_of_key"), names, hot, [cols.report])
+
+
+def frequent_rows(
+    items: DataFrame,
+    outcomes: DataFrame,
+    cols: Columns,
+    min_actual: int,
+    block: int = BLOCK,
+    store: Callable[[DataFrame], DataFrame] = unwritten,
+    rows_per_salt: int = ROWS_PER_SALT,
+) -> tuple[DataFrame, DataFrame]:
+    """Items and outcomes of each report that take part in some (item, outcome) pair reported
+    ``min_actual`` times.  A triple needs both its item-outcome pairs that often."""
+    names, report = [cols.item, cols.outcome], [cols.report, *cols.strata]
+    plain = [c for c in (*report, "n_items", "n_outcomes")]
+    crossed = item_outcome_products(items.select(*plain, cols.item), outcomes.select(*plain, cols.outcome), cols, block)
+    frequent = store(_frequent(crossed, names, min_actual))
+    kept = store(_rows_with(crossed.select(*report, *names), frequent, names, cols, rows_per_salt))
+    of = lambda rows, name: rows.hint("merge").join(
+        kept.select(*report, name).distinct(), [*report, name], "left_semi")
+    return of(items, cols.item), of(outcomes, cols.outcome)
+
+
+def frequent_item_pairs(
+    pairs: DataFrame,
+    cols: Columns,
+    min_actual: int,
+    store: Callable[[DataFrame], DataFrame] = unwritten,
+    rows_per_salt: int = ROWS_PER_SALT,
+) -> DataFrame:
+    """Item pair rows whose pair is reported ``min_actual`` times."""
+    names = [cols.item1, cols.item2]
+    pairs = store(pairs)
+    return _rows_with(pairs, store(_frequent(pairs, names, min_actual)), names, cols, rows_per_salt)
+
+
 def report_actual_expected(
     tables: ReportTables,
     cols: Columns = DEFAULT_COLUMNS,
@@ -84,6 +153,7 @@ def report_actual_expected(
     block: int = BLOCK,
     store: Callable[[DataFrame], DataFrame] = unwritten,
     rows_per_salt: int = ROWS_PER_SALT,
+    worth_pruning: float = WORTH_PRUNING,
 ) -> DataFrame:
     """Actual and expected counts straight from the report tables.
 
@@ -91,6 +161,11 @@ def report_actual_expected(
     ``pair_stratum_expected`` -> ``actual_expected``.  The counts are attached to the item
     and outcome rows of a report, which are far fewer than its pairs, so the pair table is
     shuffled for its two sums only and for no join.
+
+    With ``min_actual``, what cannot be part of a frequent triple goes level by level before triples
+    are formed: names, then items and outcomes without a frequent item-outcome pair, then infrequent
+    item pairs.  The last two levels are counted only where the number of names lets them take out
+    ``worth_pruning`` of their rows, and tables are stored; the result is the same either way.
     """
     strata = [*cols.strata]
     n_stratum = stratum_counts(tables.reports, cols)
@@ -103,8 +178,19 @@ def report_actual_expected(
     outcomes = with_marginals(
         tables.outcomes, n_react, cols.outcome, "n_react", cols, min_actual, rows_per_salt
     )
+    by_outcome = by_pair = 0.0
+    if min_actual > 1 and store is not unwritten:  # levels read their tables more than once
+        by_outcome, by_pair = _most_pruned(tables, n_drug, n_react, cols, min_actual)
+    if by_outcome > worth_pruning:
+        items, outcomes = store_all(store, items, outcomes)
+        items, outcomes = store_all(
+            store, *frequent_rows(items, outcomes, cols, min_actual, block, store, rows_per_salt)
+        )
+    pairs = item_pair_products(items, cols, block)
+    if by_pair > worth_pruning:
+        pairs = frequent_item_pairs(pairs, cols, min_actual, store, rows_per_salt)
     per_stratum = (
-        pair_outcome_products(items, outcomes, cols, block)
+        outcomes_of_pairs(pairs, outcomes, cols, block)
         .select(*strata, *cols.triple, expected_in_stratum().alias("expected"))
         .groupBy(*strata, *cols.triple)
         .agg(F.count("*").alias("n"), F.max("expected").alias("expected"))

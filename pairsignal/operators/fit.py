@@ -1,21 +1,24 @@
 """Fitting the two-gamma mixture to (n, w, e) cells: count, weight, mean exposure.
 
 The counts are truncated at the smallest one present, so each component is divided by its
-probability of reaching it.  A pass over the cells is one Spark aggregate; the driver holds
-parameters and sums only.  Squashed cells and raw triples (w = 1) run the same code.
+probability of reaching it.  A pass over the cells is one Spark job that sends a row of sums a
+theta; the driver holds parameters and sums only.  Squashed cells and raw triples (w = 1) run the same code.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import astuple, dataclass
 
 import numpy as np
+import pyarrow as pa
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairsignal.functions.special import digamma, literal, ln_nb_pmf
+from pairsignal.functions import mixture_sums, special
+from pairsignal.functions.special import digamma, ln_nb_pmf
 from pairsignal.schema import MixtureParams
 from pairsignal.sources.written import written
 
@@ -24,6 +27,10 @@ TOLERANCE = 0.01
 MAX_ITERATIONS = 100
 STARTS = 20
 
+# The sums travel with the task, so executors need no copy of this package.
+register_pickle_by_value(mixture_sums)
+register_pickle_by_value(special)
+
 PLAIN_START = MixtureParams(0.2, 0.1, 2.0, 4.0, 1 / 3)
 STEPS = (1.0, 0.3, 0.05, 0.0)
 THETA = ("alpha1", "beta1", "alpha2", "beta2", "p")
@@ -31,9 +38,12 @@ FIT_SCHEMA = (
     "start INT, alpha1 DOUBLE, beta1 DOUBLE, alpha2 DOUBLE, beta2 DOUBLE, p DOUBLE, "
     "loglik DOUBLE, iterations INT, converged BOOLEAN, at_limit BOOLEAN"
 )
-# Limits of a step and of ln alpha and ln beta; a fit that ends at the latter says so.
+# Limits of a step, of an extrapolation, of ln alpha and ln beta, and of the share; a fit that ends
+# at one of the last two says so.
 LONGEST_MOVE = 2.0
+LONGEST_REACH = 16.0
 LARGEST_LOG = 30.0
+LEAST_SHARE = 1e-12
 
 
 def fit_input(squashed: DataFrame) -> DataFrame:
@@ -205,38 +215,30 @@ def mixture_gradient(
     )
 
 
-def _sums(cells: DataFrame, thetas: list[tuple], nstar: int) -> dict[tuple[int, int], dict]:
-    """Sums of one pass for every (start, step, theta) in ``thetas``.
+def _sums(cells: DataFrame, thetas: dict[tuple[int, int], tuple], nstar: int) -> dict[tuple[int, int], dict]:
+    """Sums of one pass for every theta, which has the key (start, candidate).
 
-    The thetas are one literal array, so a cell meets them without a join and the generated
-    code is the same in every pass.  The result has one row per theta.
+    A task adds up all thetas over its batches of cells and sends one row a theta, however many
+    cells it reads.
     """
-    structs = ", ".join(
-        f"struct({start} AS start, {step} AS step, "
-        + ", ".join(f"{literal(v)} AS {k}" for k, v in zip(THETA, theta))
-        + ")"
-        for start, step, theta in thetas
-    )
-    rows = cells.selectExpr("n", "w", "e", f"inline(array({structs}))")
-    scored = _score(_score(_mixed(rows, nstar), 1), 2)
-    scored = scored.withColumns(
-        {f"u{i}": F.expr(f"alpha{i} * da{i}") for i in (1, 2)}
-        | {f"v{i}": F.expr(f"beta{i} * db{i}") for i in (1, 2)}
-    )
-    sums = {"loglik": "w * ll", "w": "w", "wr": "w * r"}
-    for i, share in ((1, "r"), (2, "(1D - r)")):
-        sums |= {
-            f"u{i}": f"w * {share} * u{i}", f"v{i}": f"w * {share} * v{i}",
-            f"uu{i}": f"w * {share} * u{i} * u{i}", f"uv{i}": f"w * {share} * u{i} * v{i}",
-            f"vv{i}": f"w * {share} * v{i} * v{i}",
-        }
-    found = scored.groupBy("start", "step").agg(
-        *[F.sum(F.expr(sql)).alias(name) for name, sql in sums.items()]
-    )
-    return {(row["start"], row["step"]): row.asDict() for row in found.collect()}
+    keys, tried = list(thetas), list(thetas.values())
+    names = mixture_sums.SUMS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(tried), len(names)))
+        for batch in batches:
+            n, w, e = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("n", "w", "e"))
+            total += mixture_sums.cell_sums(n, w, e, tried, nstar)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(tried)), pa.int32()), *map(pa.array, total.T)], names=["theta", *names]
+        )
+
+    parts = cells.mapInArrow(run, "theta int, " + ", ".join(f"{k} double" for k in names))
+    found = parts.groupBy("theta").agg(*[F.sum(k).alias(k) for k in names])
+    return {keys[row["theta"]]: row.asDict() for row in found.collect()}  # a row for each theta
 
 
-def _stepped(theta: tuple, s: dict, step: float) -> tuple:
+def _stepped(theta: tuple, s: dict, step: float, largest: float = LARGEST_LOG) -> tuple:
     """Theta after one EM step: the share in closed form, the gammas by a scoring step in
     ln alpha and ln beta, shortened to ``step``."""
     out = []
@@ -247,32 +249,61 @@ def _stepped(theta: tuple, s: dict, step: float) -> tuple:
         move = np.linalg.solve(spread, gradient)
         move *= min(1.0, LONGEST_MOVE / max(np.linalg.norm(move), 1e-300))
         old = np.log(np.array(theta[2 * i - 2 : 2 * i]))
-        out += list(np.exp(np.clip(old + step * move, -LARGEST_LOG, LARGEST_LOG)))
+        out += _bounded(old + step * move, largest)
     share = s["wr"] / s["w"]
-    return (*out, float(min(max(share, 1e-12), 1.0 - 1e-12)))
+    return (*out, float(min(max(share, LEAST_SHARE), 1.0 - LEAST_SHARE)))
+
 
+def _bounded(logs: np.ndarray, largest: float) -> list[float]:
+    """Alpha and beta of logs moved together into the limits, so that their ratio, the mean, stays."""
+    logs = logs - max(0.0, float(logs.max()) - largest)
+    logs = logs + max(0.0, -largest - float(logs.min()))
+    return np.exp(np.minimum(logs, largest)).tolist()
 
-def _spread(cells: DataFrame) -> DataFrame:
-    """Few cells meet many thetas: give every core some.  Large inputs are left as they are."""
-    cores = cells.sparkSession.sparkContext.defaultParallelism
-    return cells.repartition(cores) if cells.rdd.getNumPartitions() < cores else cells
 
+def _free(theta: tuple) -> np.ndarray:
+    """Theta in coordinates without bounds: logs, and the log odds of the share."""
+    p = min(max(theta[4], LEAST_SHARE), 1.0 - LEAST_SHARE)
+    return np.array([*np.log(theta[:4]), math.log(p / (1.0 - p))])
 
-def _at_limit(theta: tuple) -> bool:
+
+def _extrapolated(before: tuple, theta: tuple, after: tuple, largest: float) -> list[tuple]:
+    """Thetas further along the way of two EM steps (squared extrapolation), the longer first.
+
+    With r the first step and v the change of the step, the point is ``before + 2 c r + c^2 v``;
+    c = 1 is ``after`` itself, and the step lengths' ratio says how much further to go.
+    """
+    x0, x1, x2 = map(_free, (before, theta, after))
+    r, v = x1 - x0, x2 - 2.0 * x1 + x0
+    c = float(np.linalg.norm(r) / max(np.linalg.norm(v), 1e-300))
+    found = []
+    for far in (min(c, LONGEST_REACH), (min(c, LONGEST_REACH) + 1.0) / 2.0) if c > 1.0 else ():
+        x = x0 + 2.0 * far * r + far * far * v
+        odds = math.exp(min(max(x[4], -700.0), 700.0))
+        share = min(max(odds / (1.0 + odds), LEAST_SHARE), 1.0 - LEAST_SHARE)
+        found.append((*_bounded(x[:2], largest), *_bounded(x[2:4], largest), share))
+    return found
+
+
+def _at_limit(theta: tuple, largest: float = LARGEST_LOG) -> bool:
     logs = np.abs(np.log(np.array(theta[:4])))
-    return bool((logs >= LARGEST_LOG - 1e-9).any() or not 1e-9 < theta[4] < 1 - 1e-9)
+    return bool((logs >= largest - 1e-9).any() or not 1e-9 < theta[4] < 1 - 1e-9)
 
 
 def fit_step(cells: DataFrame, params: MixtureParams = PLAIN_START, step: float = 1.0, nstar: int | None = None) -> DataFrame:
     """Theta after one EM step from ``params``, and the log likelihood before it; one row."""
     theta = astuple(params)
-    sums = _sums(cells, [(0, 0, theta)], _truncation(cells, nstar)).get((0, 0))
+    sums = _sums(_doubles(cells), {(0, 0): theta}, _truncation(cells, nstar)).get((0, 0))
     rows = [(*map(float, _stepped(theta, sums, step)), float(sums["loglik"]))] if _usable(sums) else []
     return cells.sparkSession.createDataFrame(rows, ", ".join(f"{k} DOUBLE" for k in (*THETA, "loglik")))
 
 
+def _doubles(cells: DataFrame) -> DataFrame:
+    return cells.select(*[F.col(c).cast("double").alias(c) for c in ("n", "w", "e")])
+
+
 def _usable(s: dict | None) -> bool:
-    return s is not None and all(v is not None and math.isfinite(v) for v in s.values())
+    return s is not None and s["w"] != 0 and all(v is not None and math.isfinite(v) for v in s.values())
 
 
 @dataclass
@@ -281,6 +312,7 @@ class _Run:
     sums: dict
     iterations: int = 0
     active: bool = True
+    before: tuple | None = None  # the theta whose whole EM step this one is
 
 
 def fit_starts(
@@ -289,46 +321,51 @@ def fit_starts(
     tolerance: float = TOLERANCE,
     max_iterations: int = MAX_ITERATIONS,
     store: Callable[[DataFrame], DataFrame] = written,
+    largest: float = LARGEST_LOG,
 ) -> DataFrame:
     """EM from several starts at once: one row per start that kept a finite likelihood.
 
-    Each iteration is one pass that tries a few step lengths for every start and keeps the
-    likeliest, so the likelihood of a start never falls.  A start stops when a step gains
-    no more than ``tolerance``, and is then ``converged``; ``at_limit`` marks a fit whose alpha or
-    beta ran to the largest or smallest value allowed, or whose share lies at 0 or 1.  Without cells
-    there is no row.
+    Each iteration is one pass that tries a few step lengths for every start and, after a whole
+    step, two extrapolations of the last two; the likeliest is kept, so the likelihood of a start
+    never falls.  A start stops when a step gains no more than ``tolerance``, and is then
+    ``converged``; ``at_limit`` marks a fit whose ln alpha or ln beta ran to ``largest`` or its
+    negative, or whose share lies at 0 or 1.  Without cells there is no row.
     """
     spark = cells.sparkSession
-    cells = _spread(store(cells.select("n", "w", "e")))
+    cells = store(_doubles(cells))
     nstar = smallest_count(cells)
     if nstar is None:
         return spark.createDataFrame([], FIT_SCHEMA)
     valid = {
         i: astuple(p) for i, p in enumerate(starts) if min(astuple(p)) > 0 and p.p <= 1
     }
-    first = _sums(cells, [(i, 0, t) for i, t in valid.items()], nstar) if valid else {}
+    first = _sums(cells, {(i, 0): t for i, t in valid.items()}, nstar) if valid else {}
     runs = {i: _Run(t, first[i, 0]) for i, t in valid.items() if _usable(first.get((i, 0)))}
     for _ in range(max_iterations):
-        moves = {
-            (i, j): _stepped(run.theta, run.sums, step)
-            for i, run in runs.items() if run.active
-            for j, step in enumerate(STEPS)
-        }
+        moves = {}
+        for i, run in runs.items():
+            if run.active:
+                steps = [_stepped(run.theta, run.sums, step, largest) for step in STEPS]
+                if run.before is not None:
+                    steps += _extrapolated(run.before, run.theta, steps[0], largest)
+                moves |= {(i, j): theta for j, theta in enumerate(steps)}
         if not moves:
             break
-        found = _sums(cells, [(i, j, t) for (i, j), t in moves.items()], nstar)
+        found = _sums(cells, moves, nstar)
         for i, run in runs.items():
             if not run.active:
                 continue
-            tried = [(found[i, j]["loglik"], j) for j in range(len(STEPS)) if _usable(found.get((i, j)))]
+            tried = [(s["loglik"], j) for (k, j), s in found.items() if k == i and _usable(s)]
             gain = max(tried)[0] - run.sums["loglik"] if tried else 0.0
             run.active = gain > tolerance
             if gain > 0:
                 best = max(tried)[1]
+                run.before = run.theta if best == 0 else None
                 run.theta, run.sums = moves[i, best], found[i, best]
                 run.iterations += 1
     rows = [
-        (i, *map(float, run.theta), float(run.sums["loglik"]), run.iterations, not run.active, _at_limit(run.theta))
+        (i, *map(float, run.theta), float(run.sums["loglik"]), run.iterations, not run.active,
+         _at_limit(run.theta, largest))
         for i, run in runs.items()
     ]
     return spark.createDataFrame(rows, FIT_SCHEMA)

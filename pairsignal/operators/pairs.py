@@ -246,6 +246,21 @@ def item_outcome_products(
     return left.hint("merge").join(right, [*keys, "ib", "ob"])
 
 
+def item_pair_products(items: DataFrame, cols: Columns, block: int = BLOCK) -> DataFrame:
+    """Each distinct item pair of a report and stratum, keyed by the cell in which it meets."""
+    keys = [cols.report, *cols.strata]
+    return join_cells(item_cells(items, cols, keys, block), cols, keys)
+
+
+def outcomes_of_pairs(
+    pairs: DataFrame, outcomes: DataFrame, cols: Columns, block: int = BLOCK
+) -> DataFrame:
+    """Each pair of ``item_pair_products`` with each distinct outcome of its report."""
+    keys = [cols.report, *cols.strata]
+    right = outcome_cells(outcomes, cols, keys, block)
+    return pairs.hint("merge").join(right, [*keys, "lo", "hi", "ok"]).drop("lo", "hi", "ok")
+
+
 def pair_outcome_products(
     items: DataFrame, outcomes: DataFrame, cols: Columns, block: int = BLOCK
 ) -> DataFrame:
@@ -253,7 +268,4 @@ def pair_outcome_products(
 
     Further columns of ``items`` come with suffix 1 and 2, those of ``outcomes`` as named.
     """
-    keys = [cols.report, *cols.strata]
-    pairs = join_cells(item_cells(items, cols, keys, block), cols, keys)
-    right = outcome_cells(outcomes, cols, keys, block)
-    return pairs.hint("merge").join(right, [*keys, "lo", "hi", "ok"]).drop("lo", "hi", "ok")
+    return outcomes_of_pairs(item_pair_products(items, cols, block), outcomes, cols, block)

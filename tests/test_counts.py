@@ -1,6 +1,9 @@
+import random
+
 import pytest
 from conftest import rows
 
+from pairsignal.operators import expected
 from pairsignal.operators.counts import (
     drug_counts,
     drug_react_counts,
@@ -14,7 +17,7 @@ from pairsignal.operators.expected import (
     pair_stratum_expected,
     report_actual_expected,
 )
-from pairsignal.operators.pairs import drug_pairs, report_drug_react, report_pair_react
+from pairsignal.operators.pairs import drug_pairs, item_pair_products, report_drug_react, report_pair_react
 from pairsignal.operators.reports import multi_drug_reports, report_tables
 from pairsignal.schema import Columns, DEFAULT_COLUMNS
 from pairsignal.sources.written import unwritten, written
@@ -95,3 +98,44 @@ def test_shared_report_id_counts_in_both_strata(spark):
     t = report_tables(demo, drug, react, cols)
     assert [r[-1] for r in rows(pair_react_counts(t.items, t.outcomes))] == [1, 1]
     assert rows(report_actual_expected(t)) == [("A", "B", "X", 2, 2.0)]
+
+
+def sparse_tables(spark, n=400):
+    """Reports whose names are mostly shared by few: most pairs are rare, some names are in all."""
+    draw = random.Random(8)
+    items = {i: {f"d{int(draw.paretovariate(0.5)) % 90}" for _ in range(draw.choice([1, 3, 6]))} for i in range(n)}
+    outcomes = {i: {f"r{int(draw.paretovariate(0.6)) % 60}" for _ in range(draw.choice([1, 2, 5]))} for i in range(n)}
+    demo = spark.createDataFrame([(i, "FM"[i % 2], 40, "20090101") for i in range(n)], "isr long, gender string, age long, fda_dt string")
+    drug = spark.createDataFrame([(i, d) for i, ds in items.items() for d in ds], "isr long, drug string")
+    react = spark.createDataFrame([(i, r) for i, rs in outcomes.items() for r in rs], "isr long, react string")
+    return report_tables(demo, drug, react, store=written)
+
+
+@pytest.mark.parametrize("rows_per_salt", [1_000_000, 5])
+def test_level_wise_pruning_changes_no_triple(spark, rows_per_salt):
+    t = sparse_tables(spark)
+    rounded = lambda df: sorted((*r[:4], round(r[4], 9)) for r in df.collect())
+    for least in (2, 3, 6):
+        plain = rounded(report_actual_expected(t, min_actual=least, worth_pruning=1.0))
+        pruned = report_actual_expected(t, min_actual=least, worth_pruning=0.0, store=written, rows_per_salt=rows_per_salt)
+        assert plain and rounded(pruned) == plain
+
+
+def test_level_wise_pruning_leaves_few_rows(spark):
+    t, cols = sparse_tables(spark), DEFAULT_COLUMNS
+    shares = expected._most_pruned(t, drug_counts(t.items), react_counts(t.outcomes), cols, 3)
+    assert min(shares) > expected.WORTH_PRUNING  # so the levels are counted here without being told
+    items, outcomes = expected.frequent_rows(t.items, t.outcomes, cols, 3, store=written)
+    assert items.count() < t.items.count() and outcomes.count() < t.outcomes.count()
+    pairs = item_pair_products(items, cols)
+    kept = expected.frequent_item_pairs(pairs, cols, 3, written)
+    assert kept.count() < 0.7 * item_pair_products(t.items, cols).count()
+
+
+def test_names_that_are_all_frequent_are_not_counted_again(spark):
+    demo = spark.createDataFrame([(i, "F", 40, "20090101") for i in range(60)], "isr long, gender string, age long, fda_dt string")
+    drug = spark.createDataFrame([(i, d) for i in range(60) for d in "AB"], "isr long, drug string")
+    react = spark.createDataFrame([(i, "X") for i in range(60)], "isr long, react string")
+    t = report_tables(demo, drug, react)
+    shares = expected._most_pruned(t, drug_counts(t.items), react_counts(t.outcomes), DEFAULT_COLUMNS, 3)
+    assert max(shares) <= expected.WORTH_PRUNING

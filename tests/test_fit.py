@@ -103,3 +103,33 @@ def test_best_of_many_starts(planted):
     assert best["loglik"] == pytest.approx(max(r["loglik"] for r in each), abs=1e-6)
     with pytest.raises(ValueError):
         fit.fit_mixture(cells, MixtureParams(-1, 1, 1, 1, 0.5))
+
+
+def test_pass_sums_are_those_of_the_expressions(cells):
+    """The sums of a pass against likelihood and gradient in SQL, also far out and with a small tail."""
+    for t in (PLAIN, MixtureParams(50.0, 30.0, 1e-3, 2.0, 0.9), MixtureParams(1e6, 6e5, 3.0, 2e4, 0.2)):
+        found = fit._sums(fit._doubles(cells), {(0, 0): dataclasses.astuple(t)}, 3)[0, 0]
+        assert found["loglik"] == pytest.approx(fit.mixture_loglik(cells, t).first()[0], rel=1e-9)
+        slopes = fit.mixture_gradient(cells, t).first()
+        for k, name in (("u1", "alpha1"), ("v1", "beta1"), ("u2", "alpha2"), ("v2", "beta2")):
+            assert found[k] == pytest.approx(slopes[f"d_{name}"] * getattr(t, name), rel=1e-6, abs=1e-6)
+
+
+def test_extrapolation_takes_fewer_passes_to_no_less_likelihood(planted, monkeypatch):
+    _, cells = planted
+    fast = fit.fit_mixture(cells).first()
+    monkeypatch.setattr(fit, "_extrapolated", lambda *_: [])
+    plain = fit.fit_mixture(cells).first()
+    assert fast["loglik"] >= plain["loglik"] - 0.01
+    assert fast["iterations"] <= plain["iterations"]
+
+
+def test_limits_keep_the_mean():
+    a, b = fit._bounded(np.array([12.0, 11.0]), 8.0)
+    assert (a / b, a) == (pytest.approx(math.e), pytest.approx(math.exp(8.0)))
+    a, b = fit._bounded(np.array([-12.0, -11.0]), 8.0)
+    assert (a / b, a) == (pytest.approx(1 / math.e), pytest.approx(math.exp(-8.0)))
+
+
+def test_nothing_to_fit(spark):
+    assert fit.fit_mixture(spark.createDataFrame([], "n long, w long, e double")).count() == 0
