@@ -8,7 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairsignal.operators.counts import drug_counts, react_counts, stratum_counts
-from pairsignal.operators.pairs import BLOCK, item_outcome_products, item_pair_products, outcomes_of_pairs
+from pairsignal.operators.pairs import (
+    BLOCK,
+    item_outcome_products,
+    item_pair_products,
+    outcomes_of_pairs,
+    pair_outcome_products,
+)
 from pairsignal.operators.reports import ReportTables
 from pairsignal.operators.skew import ROWS_PER_SALT, heaviest_keys, join_spread, rows_of_keys
 from pairsignal.schema import Columns, DEFAULT_COLUMNS
@@ -77,6 +83,28 @@ def with_marginals(
     return join_spread(rows, counts, keys, hot, [cols.report])
 
 
+def report_marginals(
+    tables: ReportTables,
+    cols: Columns = DEFAULT_COLUMNS,
+    block: int = BLOCK,
+    store: Callable[[DataFrame], DataFrame] = unwritten,
+    rows_per_salt: int = ROWS_PER_SALT,
+) -> DataFrame:
+    """The rows of ``pair_marginals`` straight from the report tables: the counts ride on a report's
+    items and outcomes, so the pair table is summed once and joined to nothing."""
+    strata, totals = [*cols.strata], ["n_stratum", "n_drug1", "n_drug2", "n_react"]
+    n_drug, n_react = store_all(
+        store,
+        drug_counts(tables.items, cols),
+        react_counts(tables.outcomes, cols).join(stratum_counts(tables.reports, cols), strata),
+    )
+    items = with_marginals(tables.items, n_drug, cols.item, "n_drug", cols, 1, rows_per_salt)
+    outcomes = with_marginals(tables.outcomes, n_react, cols.outcome, "n_react", cols, 1, rows_per_salt)
+    return pair_outcome_products(items, outcomes, cols, block).groupBy(*strata, *cols.triple).agg(
+        F.count("*").alias("n"), *[F.max(c).alias(c) for c in totals]
+    )
+
+
 # A level is counted where it may take out this share of its rows; else its count costs more than it saves.
 WORTH_PRUNING = 0.25
 

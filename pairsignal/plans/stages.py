@@ -20,6 +20,7 @@ from pairsignal.operators.expected import (
     min_actual_filter,
     pair_marginals,
     pair_stratum_expected,
+    report_marginals,
 )
 from pairsignal.operators.pairs import report_drug_react, report_pair_react
 from pairsignal.operators.reports import report_tables
@@ -33,10 +34,13 @@ from pairsignal.sources.lines import (
     read_report_lines,
     with_year,
 )
-from pairsignal.sources.stage_tables import read_stage_table, write_stage_table
+from pairsignal.sources.stage_tables import read_bucketed, read_stage_table, write_bucketed, write_stage_table
 from pairsignal.sources.written import written
 
 
+MARGINALS = "strat_drugs2_reacs_marginals"
+
+
 def read_sources(
     spark: SparkSession, demos: str, drugs: str, reactions: str, normalize_strata: bool = False
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -56,8 +60,12 @@ def run_counts(
     root: str,
     config: SignalConfig = SignalConfig(),
     fmt: str = "parquet",
+    buckets: int | None = None,
 ) -> None:
-    """The joined reports, the joined pairs and the five stratified counts."""
+    """The joined reports, the joined pairs and the five stratified counts.
+
+    With ``buckets``, the pair counts are also kept with their marginals, bucketed by triple.
+    """
     cols = config.cols
     demo, drug, react = written(demo), written(drug), written(react)
     t = report_tables(demo, drug, react, cols, written)
@@ -72,12 +80,27 @@ def run_counts(
     }
     for name, df in outputs.items():
         write_stage_table(df, root, name, cols, fmt)
+    if buckets:
+        write_bucketed(report_marginals(t, cols, store=written), root, MARGINALS, cols.triple, buckets, cols)
+
+
+def bucketed_expected(spark: SparkSession, root: str, config: SignalConfig, buckets: int) -> DataFrame:
+    """Actual and expected counts from the bucketed pair table, which is read in place."""
+    cols = config.cols
+    rows = read_bucketed(spark, root, MARGINALS, cols.triple, buckets, cols)
+    return actual_expected(pair_stratum_expected(rows), cols)
 
 
 def run_expected(
-    spark: SparkSession, root: str, config: SignalConfig = SignalConfig(), fmt: str = "parquet"
+    spark: SparkSession, root: str, config: SignalConfig = SignalConfig(), fmt: str = "parquet",
+    buckets: int | None = None,
 ) -> None:
+    """Actual and expected counts; with ``buckets`` from the bucketed table of ``run_counts``."""
     cols = config.cols
+    if buckets:
+        triples = bucketed_expected(spark, root, config, buckets)
+        write_stage_table(triples, root, "drugs2_reacs_actual_expected", cols, fmt)
+        return
     pairs, strata, drugs, reacts = (
         read_stage_table(spark, root, name, cols, fmt)
         for name in (
@@ -135,10 +158,11 @@ def run_all(
     config: SignalConfig = SignalConfig(),
     fmt: str = "parquet",
     normalize_strata: bool = False,
+    buckets: int | None = None,
 ) -> None:
     """All jobs in order, from report lines to the network."""
-    run_counts(*read_sources(spark, demos, drugs, reactions, normalize_strata), root, config, fmt)
-    run_expected(spark, root, config, fmt)
+    run_counts(*read_sources(spark, demos, drugs, reactions, normalize_strata), root, config, fmt, buckets)
+    run_expected(spark, root, config, fmt, buckets)
     run_squash(spark, root, config, fmt)
     run_score(spark, root, config, fmt)
     run_network(spark, root, config, fmt)

@@ -77,6 +77,9 @@ def stage_columns(name: str, cols: Columns = DEFAULT_COLUMNS) -> dict[str, str]:
         "strat_drugs_reacs_counts": {**by, **item, **outcome, "n": "BIGINT"},
         "strat_drugs2_reacs": {**triple, **report},
         "strat_drugs2_reacs_counts": {**by, **triple, "n": "BIGINT"},
+        "strat_drugs2_reacs_marginals": {
+            **by, **triple, **{c: "BIGINT" for c in ("n", "n_stratum", "n_drug1", "n_drug2", "n_react")}
+        },
         "drugs2_reacs_actual_expected": actual_expected,
         "drugs2_reacs_stats": {
             "actual": "BIGINT", "bin": "INT", "sum_expected": "DOUBLE", "weight": "BIGINT"

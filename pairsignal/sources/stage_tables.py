@@ -7,6 +7,9 @@ survives the loss of an executor.
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,12 +29,15 @@ def _escaped(field: Column) -> Column:
 
 
 def _unescaped(field: Column) -> Column:
-    out = field
-    mark = F.lit("\x00")  # keeps a doubled mark from being read with what follows
-    out = F.replace(out, F.lit("\\\\"), mark)
-    for sign, said in reversed(ESCAPES[1:]):
-        out = F.replace(out, F.lit(said), F.lit(sign))
-    return F.when(field != NULL, F.replace(out, mark, F.lit("\\")))
+    """The field as it was.  Between doubled escapes no escape begins or ends, so each stretch between
+    them is decoded by itself, and no character serves as a mark of its own."""
+    def decoded(part: Column) -> Column:
+        for sign, said in reversed(ESCAPES[1:]):
+            part = F.replace(part, F.lit(said), F.lit(sign))
+        return part
+
+    parts = F.transform(F.split(field, r"\\\\", -1), decoded)
+    return F.when(field != NULL, F.array_join(parts, "\\"))
 
 
 def stage_path(root: str, name: str) -> str:
@@ -79,6 +85,43 @@ def write_stage_table(
     return path
 
 
+def _bucketed(root: str, name: str, buckets: int) -> tuple[str, str]:
+    """Catalog name and folder of the bucketed stage table ``name`` under ``root``."""
+    path = stage_path(root, f"{name}_in_{buckets}")
+    return f"pairsignal_{name}_{zlib.crc32(path.encode()):08x}", path
+
+
+def write_bucketed(
+    df: DataFrame, root: str, name: str, by: Sequence[str], buckets: int, cols: Columns = DEFAULT_COLUMNS
+) -> str:
+    """Write ``df`` as stage table ``name``, hashed by ``by`` into ``buckets`` sorted files.
+
+    What groups or joins by these columns then reads the table in place: no shuffle, no sort.
+    """
+    table, path = _bucketed(root, name, buckets)
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
+    (
+        df.select(*[F.col(f"`{c}`") for c in stage_columns(name, cols)])
+        .repartition(buckets, *by).sortWithinPartitions(*by)
+        .write.mode("overwrite").bucketBy(buckets, *by).sortBy(*by).option("path", path).saveAsTable(table)
+    )
+    return path
+
+
+def read_bucketed(
+    spark: SparkSession, root: str, name: str, by: Sequence[str], buckets: int, cols: Columns = DEFAULT_COLUMNS
+) -> DataFrame:
+    """The table of ``write_bucketed``; another session's catalog learns its layout here."""
+    table, path = _bucketed(root, name, buckets)
+    columns = ", ".join(f"`{c}` {t}" for c, t in stage_columns(name, cols).items())
+    keys = ", ".join(f"`{c}`" for c in by)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
+        f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(table)
+
+
 def read_stage_table(
     spark: SparkSession,
     root: str,

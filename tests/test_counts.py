@@ -111,14 +111,13 @@ def sparse_tables(spark, n=400):
     return report_tables(demo, drug, react, store=written)
 
 
-@pytest.mark.parametrize("rows_per_salt", [1_000_000, 5])
-def test_level_wise_pruning_changes_no_triple(spark, rows_per_salt):
+@pytest.mark.parametrize("least,rows_per_salt", [(3, 1_000_000), (2, 5)])
+def test_level_wise_pruning_changes_no_triple(spark, least, rows_per_salt):
     t = sparse_tables(spark)
     rounded = lambda df: sorted((*r[:4], round(r[4], 9)) for r in df.collect())
-    for least in (2, 3, 6):
-        plain = rounded(report_actual_expected(t, min_actual=least, worth_pruning=1.0))
-        pruned = report_actual_expected(t, min_actual=least, worth_pruning=0.0, store=written, rows_per_salt=rows_per_salt)
-        assert plain and rounded(pruned) == plain
+    plain = rounded(report_actual_expected(t, min_actual=least, worth_pruning=1.0))
+    pruned = report_actual_expected(t, min_actual=least, worth_pruning=0.0, store=written, rows_per_salt=rows_per_salt)
+    assert plain and rounded(pruned) == plain
 
 
 def test_level_wise_pruning_leaves_few_rows(spark):

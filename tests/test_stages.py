@@ -1,12 +1,18 @@
+import os
+
 import pytest
 from conftest import rows
 
 from pairsignal.fixtures import demo_lines, drug_lines, react_lines, report_inputs
+from pairsignal.operators.counts import drug_counts, pair_react_counts, react_counts, stratum_counts
+from pairsignal.operators.expected import pair_marginals, report_actual_expected, report_marginals
 from pairsignal.operators.fit import mixture_loglik, fit_input
 from pairsignal.plans import stages
 from pairsignal.plans.signals import SignalConfig, find_signals, find_triples, mixture_for, squashed
 from pairsignal.schema import Columns, DEFAULT_PARAMS, YEAR_COLUMNS
-from pairsignal.sources.stage_tables import read_stage_table, write_stage_table
+from pairsignal.operators.reports import report_tables
+from pairsignal.sources import stage_tables
+from pairsignal.sources.stage_tables import read_stage_table, write_bucketed, write_stage_table
 from pairsignal.sources.written import written
 
 SF = "/root/testdata/sf0.001"
@@ -17,7 +23,7 @@ CONFIG = SignalConfig(cols=YEAR_COLUMNS, posterior="rate", cap=None)
 def test_round_trip(spark, tmp_path, fmt):
     data = [
         ("A", "", "X", 3, 0.1 + 0.2), ('"q"', "B C", "é", 10**12, 1e-17), ("A$B", "a,b;c", "\\d\\\\N", 1, 2.0),
-        ("\\N", "line\nend\r", "\\", 2, 3.0),
+        ("\\N", "line\nend\r", "\\", 2, 3.0), ("a\x00b", "\x00", "\\\x00\\n\n\\\\", 4, 5.0),
     ]
     df = spark.createDataFrame(data, "drug1 string, drug2 string, react string, actual long, expected double")
     for _ in range(2):  # a second run replaces the first
@@ -84,3 +90,40 @@ def test_fitted_parameters_are_likelier_than_shipped(spark):
     cells = written(fit_input(squashed(triples)))
     params = mixture_for(triples, SignalConfig(cols=YEAR_COLUMNS, params="fit"))
     assert mixture_loglik(cells, params).first()[0] >= mixture_loglik(cells, DEFAULT_PARAMS).first()[0]
+
+
+def bucketed(spark, tmp_path, example, buckets=4):
+    demo, drug, react = example
+    config = SignalConfig(cols=Columns(strata=("gender",)), min_actual=1)
+    tables = report_tables(demo, drug, react, config.cols, written)
+    write_bucketed(report_marginals(tables, config.cols, store=written), str(tmp_path), stages.MARGINALS, config.cols.triple,
+                   buckets, config.cols)
+    return config, tables, stages.bucketed_expected(spark, str(tmp_path), config, buckets)
+
+
+def test_bucketed_pairs_are_summed_in_place(spark, tmp_path, example):
+    """No exchange and no sort between the bucketed pair table and its sums."""
+    config, tables, triples = bucketed(spark, tmp_path, example)
+    plan = triples._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan and "Bucketed: true" in plan
+    assert rows(triples) == rows(report_actual_expected(tables, config.cols))
+    assert len(os.listdir(tmp_path)) == 1
+
+
+def test_marginals_of_reports_are_those_of_the_joined_counts(example):
+    cols = Columns(strata=("gender",))
+    t = report_tables(*example, cols, written)
+    want = pair_marginals(
+        written(pair_react_counts(t.items, t.outcomes, cols)), stratum_counts(t.reports, cols), drug_counts(t.items, cols),
+        react_counts(t.outcomes, cols), cols)
+    assert rows(report_marginals(t, cols, store=written), *want.columns) == rows(want)
+
+
+def test_another_session_reads_the_bucketed_table(spark, tmp_path, example):
+    """The layout comes from the reader where the catalog does not know the table yet."""
+    config, _, triples = bucketed(spark, tmp_path, example)
+    want = rows(triples)
+    name, _ = stage_tables._bucketed(str(tmp_path), stages.MARGINALS, 4)
+    spark.sql(f"DROP TABLE {name}")
+    again = stages.bucketed_expected(spark, str(tmp_path), config, 4)
+    assert "Exchange" not in again._jdf.queryExecution().executedPlan().toString() and rows(again) == want
