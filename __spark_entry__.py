@@ -10,19 +10,22 @@ import os
 import sys
 import uuid
 from collections.abc import Callable
+from functools import reduce
+from operator import add
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, Observation, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import oracle  # noqa: E402
 from pairsignal import fixtures  # noqa: E402
 from pairsignal.operators import counts, expected, fit, network, pairs, reports, score, squash  # noqa: E402
+from pairsignal.plans import stages  # noqa: E402
 from pairsignal.plans.signals import SignalConfig, find_signals, find_triples, signal_network, squashed  # noqa: E402
 from pairsignal.schema import DEFAULT_COLUMNS, MixtureParams, YEAR_COLUMNS  # noqa: E402
 from pairsignal.sources import lines  # noqa: E402
-from pairsignal.sources.stage_tables import read_stage_table, write_stage_table  # noqa: E402
+from pairsignal.sources.stage_tables import read_stage_table, write_bucketed, write_stage_table  # noqa: E402
 from pairsignal.sources.written import shared_folder, written  # noqa: E402
 
 try:  # the folder of these operators may be absent; nothing else that is missing is passed over
@@ -154,6 +157,71 @@ def _stage_round_trip(spark, sf, fmt):
     return _rounded(read_stage_table(spark, root, name, YEAR_COLUMNS, fmt), 6, "expected")
 
 
+def _observed_counts(spark, sf):
+    """Line counts of the jobs that parse the sources and keep the parsed rows."""
+    seen = {name: Observation() for name in lines.SOURCES}
+    written(lines.parse_demo(fixtures.demo_lines(spark, sf), seen=seen["demos"]))
+    written(lines.parse_drug(fixtures.drug_lines(spark, sf), seen["drugs"]))
+    written(lines.parse_react(fixtures.react_lines(spark, sf), seen["reactions"]))
+    return lines.line_counts(spark, seen)
+
+
+def _bucketed_expected(spark, sf):
+    """Triples summed in place from the bucketed table of pair counts and marginals."""
+    root, buckets, cols = _scratch(spark, "buckets"), 16, YEAR_COLUMNS
+    marginals = expected.report_marginals(_tables(spark, sf, cols), cols, store=written)
+    write_bucketed(marginals, root, stages.MARGINALS, cols.triple, buckets, cols)
+    return _rounded(stages.bucketed_expected(spark, root, SCALE, buckets), 6, "expected")
+
+
+def _sketched_cuts(spark, sf):
+    """Cuts of two extracts whose sketches are kept as stage tables and merged: is each cut's rank
+    within the bound?"""
+    triples, name = _triples(spark, sf), "drugs2_reacs_sketches"
+    kept = []
+    for part in (0, 1):
+        root = _scratch(spark, "sketches")
+        extract = triples.where(F.crc32(F.concat_ws("/", "drug1", "drug2", "react")) % 2 == part)
+        write_stage_table(squash.cut_sketches(extract), root, name, YEAR_COLUMNS, "parquet" if part else "text")
+        kept.append(read_stage_table(spark, root, name, YEAR_COLUMNS, "parquet" if part else "text"))
+    cuts = written(squash.cuts_of_sketches(squash.merged_sketches(*kept)))
+    errors = squash.rank_errors(triples, cuts)
+    return errors.select("actual", "n_group", "i", (F.col("rank_error") <= squash.SKETCH_ERROR).alias("within"))
+
+
+def _stage_digests(spark, sf, fmt):
+    """Every stage table written and read again: rows, sum of all numbers, letters in all texts."""
+    cols = YEAR_COLUMNS
+    demo, drug, react = _inputs(spark, sf)
+    t = reports.report_tables(demo, drug, react, cols, written)
+    triples = _triples(spark, sf)
+    signals = written(_signals(NETWORK)(spark, sf))
+    nodes, edges = signal_network(signals)
+    tables = {
+        "strat_drugs1_reacs": pairs.report_drug_react(demo, drug, react, cols, store=written),
+        "strat_demo_counts": counts.stratum_counts(t.reports, cols),
+        "strat_drugs_counts": counts.drug_counts(t.items, cols),
+        "strat_reacs_counts": counts.react_counts(t.outcomes, cols),
+        "strat_drugs_reacs_counts": counts.drug_react_counts(t.items, t.outcomes, cols),
+        "strat_drugs2_reacs": pairs.report_pair_react(demo, drug, react, cols, store=written),
+        "strat_drugs2_reacs_counts": counts.pair_react_counts(t.items, t.outcomes, cols),
+        "drugs2_reacs_actual_expected": _rounded(triples, 6, "expected"),
+        "drugs2_reacs_stats": _rounded(squashed(triples), 5, "sum_expected"),
+        "scored_drugs2_reacs": signals, "network_nodes": nodes, "network_edges": edges,
+    }
+    root, digests = _scratch(spark, "stages"), []
+    for name, df in tables.items():
+        write_stage_table(df, root, name, cols, fmt)
+        read = read_stage_table(spark, root, name, cols, fmt)
+        numbers = [F.col(c).cast("double") for c, kind in read.dtypes if kind in ("bigint", "int", "double")]
+        letters = [F.length(F.concat_ws("", c)) for c, kind in read.dtypes if kind in ("string", "array<string>")]
+        digests.append(read.agg(
+            F.lit(name).alias("stage_table"), F.count("*").alias("n"), F.round(F.sum(reduce(add, numbers)), 2).alias("numbers"),
+            F.coalesce(F.sum(reduce(add, letters, F.lit(0))), F.lit(0)).cast("long").alias("letters"),
+        ))
+    return reduce(DataFrame.unionByName, digests)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     full, year = DEFAULT_COLUMNS, YEAR_COLUMNS
     drug = lambda spark, sf: lines.parse_drug(fixtures.drug_lines(spark, sf))
@@ -191,8 +259,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             find_triples(*_inputs(s, d), SCALE), 6, "expected"
         ),
         "quantile_cuts": lambda s, d: _rounded(
-            squash.quantile_cuts(_triples(s, d)), 6, *squash.CUTS
+            squash.quantile_cuts(_triples(s, d), store=written), 6, *squash.CUTS
+        ),
+        "quantile_cuts_approx": lambda s, d: _rounded(
+            squash.quantile_cuts(_triples(s, d), mode="approx"), 6, *squash.CUTS
         ),
+        "quantile_cuts_sketched": _sketched_cuts,
+        "ingest_line_counts_observed": _observed_counts,
+        "parse_demo_normalized": lambda s, d: lines.parse_demo(fixtures.demo_lines(s, d), normalize_strata=True),
+        "actual_expected_bucketed": _bucketed_expected,
+        "every_stage_table_parquet": lambda s, d: _stage_digests(s, d, "parquet"),
+        "every_stage_table_text": lambda s, d: _stage_digests(s, d, "text"),
         "binned_expected": lambda s, d: (
             lambda t: _rounded(
                 squash.binned_expected(t, written(squash.quantile_cuts(t))), 6, "expected"

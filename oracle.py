@@ -397,6 +397,43 @@ fitted AS (
 FIT_COLUMNS = "start, round(loglik, 1) AS loglik, iterations, converged, at_limit"
 
 
+def _every_stage_table() -> str:
+    """Rows, sum of all numbers and letters in all texts of each stage table."""
+    triple = "length(drug1) + length(drug2) + length(react)"
+    year, gender = "fda_year", "length(gender)"
+    tables = {
+        "strat_drugs1_reacs": ("joined", f"isr + {year}", f"length(drug) + length(react) + {gender}"),
+        "strat_demo_counts": ("n_s", f"{year} + n_stratum", gender),
+        "strat_drugs_counts": ("n_d", f"{year} + n_drug", f"{gender} + length(drug)"),
+        "strat_reacs_counts": ("n_r", f"{year} + n_react", f"{gender} + length(react)"),
+        "strat_drugs_reacs_counts": (
+            f"({_count(YEAR_STRATA, 'drug, react', 'n')})", f"{year} + n", f"{gender} + length(drug) + length(react)"),
+        "strat_drugs2_reacs": ("joined_pairs", f"isr + {year}", f"{triple} + {gender}"),
+        "strat_drugs2_reacs_counts": ("n_p", f"{year} + n", f"{triple} + {gender}"),
+        "drugs2_reacs_actual_expected": ("triple", "actual + round(expected, 6)", triple),
+        "drugs2_reacs_stats": ("squashed", "actual + bin + round(sum_expected, 5) + weight", "0"),
+        "scored_drugs2_reacs": ("signal", "actual + expected + rrr + ebgm + ebci", triple),
+        "network_nodes": ("node", "id", "length(label)"),
+        "network_edges": (
+            "(SELECT s.id + t.id + max(ebci) AS said, sum(length(react)) AS letters FROM signal "
+            "JOIN node s ON s.label = drug1 JOIN node t ON t.label = drug2 GROUP BY s.id, t.id)", "said", "letters"),
+    }
+    network = f"""{SQUASHED}, {QUANTILE},
+signal AS (
+  SELECT drug1, drug2, react, actual, round(expected, 6) AS expected, round(actual / expected, 6) AS rrr,
+    round({EBGM}, 6) AS ebgm, round(ebci, 6) AS ebci
+  FROM (SELECT *, {EBCI['rate']} AS ebci FROM every_triple JOIN bound USING (actual) WHERE actual >= 3)
+  WHERE ebci >= 1.0),
+node AS (
+  SELECT row_number() OVER (ORDER BY label) - 1 AS id, label
+  FROM (SELECT drug1 AS label FROM signal UNION SELECT drug2 FROM signal))"""
+    return _recursive(network, " UNION ALL ".join(
+        f"SELECT '{name}' AS stage_table, count(*) AS n, round(CAST(sum({numbers}) AS DOUBLE), 2) AS numbers, "
+        f"CAST(coalesce(sum({letters}), 0) AS BIGINT) AS letters FROM {table}"
+        for name, (table, numbers, letters) in tables.items()
+    ))
+
+
 def statements() -> dict[str, str]:
     full = ", ".join(FULL_STRATA)
     counted = {"demos": ("demo_lines", "demo"), "drugs": ("drug_lines", "drug"), "reactions": ("react_lines", "react")}
@@ -406,6 +443,9 @@ def statements() -> dict[str, str]:
         f"(SELECT count(*) FROM {raw}) - (SELECT count(*) FROM {ok}) AS rejected_lines"
         for name, (raw, ok) in counted.items()
     )
+    rounded_cuts = _with(
+        CUTS, "SELECT actual, n_group, " + ", ".join(f"round(q{i}, 6) AS q{i}" for i in range(11)) + " FROM cuts"
+    )
     scores = lambda column, sql: _with(
         TRIPLES, f"SELECT {TRIPLE_COLUMNS}, round({sql}, 6) AS {column} FROM triple"
     )
@@ -446,10 +486,18 @@ def statements() -> dict[str, str]:
         ),
         "actual_expected_by_year": _with(YEARLY, f"SELECT {TRIPLE_COLUMNS} FROM every_triple"),
         "min_actual_filter": _with(YEARLY, f"SELECT {TRIPLE_COLUMNS} FROM every_triple WHERE actual >= 3"),
-        "quantile_cuts": _with(
-            CUTS,
-            "SELECT actual, n_group, " + ", ".join(f"round(q{i}, 6) AS q{i}" for i in range(11)) + " FROM cuts",
+        "quantile_cuts": rounded_cuts,
+        "quantile_cuts_approx": rounded_cuts,  # groups are smaller than the accuracy asked for
+        "quantile_cuts_sketched": _with(
+            TRIPLES, "SELECT actual, count(*) AS n_group, i::INT AS i, true AS within FROM triple, range(1, 10) r(i) GROUP BY actual, i"
+        ),
+        "ingest_line_counts_observed": _with(SOURCES, line_counts),
+        "parse_demo_normalized": _with(
+            SOURCES, "SELECT * REPLACE (upper(trim(gender)) AS gender, trim(fda_dt) AS fda_dt) FROM demo"
         ),
+        "actual_expected_bucketed": _with(YEARLY, f"SELECT {TRIPLE_COLUMNS} FROM every_triple"),
+        "every_stage_table_parquet": _every_stage_table(),
+        "every_stage_table_text": _every_stage_table(),
         "binned_expected": _with(SQUASHED, f"SELECT {TRIPLE_COLUMNS}, bin FROM binned"),
         "squashed_stats": _with(
             SQUASHED, "SELECT actual, bin, round(sum_expected, 5) AS sum_expected, weight FROM squashed"

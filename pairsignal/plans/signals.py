@@ -35,7 +35,7 @@ class SignalConfig:
 
 def squashed(triples: DataFrame, store: Callable[[DataFrame], DataFrame] = written) -> DataFrame:
     """Cuts, bins and the squashed table of triples; the cuts table is stored."""
-    return squashed_stats(binned_expected(triples, store(quantile_cuts(triples))))
+    return squashed_stats(binned_expected(triples, store(quantile_cuts(triples, store=store))))
 
 
 def mixture_for(

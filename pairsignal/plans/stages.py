@@ -6,7 +6,9 @@ run again alone.  ``fmt`` is ``parquet`` or ``text``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from pairsignal.operators.counts import (
     drug_counts,
@@ -25,9 +27,18 @@ from pairsignal.operators.expected import (
 from pairsignal.operators.pairs import report_drug_react, report_pair_react
 from pairsignal.operators.reports import report_tables
 from pairsignal.operators.score import scored_signals
+from pairsignal.operators.squash import (
+    binned_expected,
+    cut_sketches,
+    cuts_of_sketches,
+    merged_sketches,
+    squashed_stats,
+)
 from pairsignal.plans.signals import SignalConfig, mixture_for, signal_network, squashed
 from pairsignal.sources.lines import (
+    SOURCES,
     dedupe_cases,
+    line_counts,
     parse_demo,
     parse_drug,
     parse_react,
@@ -42,14 +53,19 @@ MARGINALS = "strat_drugs2_reacs_marginals"
 
 
 def read_sources(
-    spark: SparkSession, demos: str, drugs: str, reactions: str, normalize_strata: bool = False
+    spark: SparkSession, demos: str, drugs: str, reactions: str, normalize_strata: bool = False,
+    observed: dict[str, Observation] | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Deduplicated demographics, drugs and reactions from three folders of report lines."""
-    demo = parse_demo(read_report_lines(spark, demos), normalize_strata)
+    """Deduplicated demographics, drugs and reactions from three folders of report lines.
+
+    ``observed`` (one observation for each of ``lines.SOURCES``) counts lines as they are parsed.
+    """
+    seen = observed or {}
+    demo = parse_demo(read_report_lines(spark, demos), normalize_strata, seen.get("demos"))
     return (
         with_year(dedupe_cases(demo)),
-        parse_drug(read_report_lines(spark, drugs)),
-        parse_react(read_report_lines(spark, reactions)),
+        parse_drug(read_report_lines(spark, drugs), seen.get("drugs")),
+        parse_react(read_report_lines(spark, reactions), seen.get("reactions")),
     )
 
 
@@ -61,13 +77,17 @@ def run_counts(
     config: SignalConfig = SignalConfig(),
     fmt: str = "parquet",
     buckets: int | None = None,
-) -> None:
+    observed: dict[str, Observation] | None = None,
+) -> DataFrame | None:
     """The joined reports, the joined pairs and the five stratified counts.
 
-    With ``buckets``, the pair counts are also kept with their marginals, bucketed by triple.
+    With ``buckets``, the pair counts are also kept with their marginals, bucketed by triple.  With
+    the observations of ``read_sources``, returns the raw, valid and rejected lines of each source,
+    counted by the jobs that parse them: the sources are not read again.
     """
     cols = config.cols
     demo, drug, react = written(demo), written(drug), written(react)
+    counted = line_counts(demo.sparkSession, observed) if observed else None
     t = report_tables(demo, drug, react, cols, written)
     outputs = {
         "strat_drugs1_reacs": report_drug_react(demo, drug, react, cols, store=written),
@@ -82,6 +102,7 @@ def run_counts(
         write_stage_table(df, root, name, cols, fmt)
     if buckets:
         write_bucketed(report_marginals(t, cols, store=written), root, MARGINALS, cols.triple, buckets, cols)
+    return counted
 
 
 def bucketed_expected(spark: SparkSession, root: str, config: SignalConfig, buckets: int) -> DataFrame:
@@ -125,6 +146,21 @@ def run_squash(
     write_stage_table(squashed(triples), root, "drugs2_reacs_stats", config.cols, fmt)
 
 
+def run_sketches(
+    spark: SparkSession, root: str, config: SignalConfig = SignalConfig(), fmt: str = "parquet",
+    earlier: Sequence[str] = (),
+) -> None:
+    """Cuts from quantile sketches: those of this root's triples are kept as a stage table, merged with
+    the kept ones of ``earlier`` roots, whose triples are not read again, and the triples are squashed
+    by the cuts of all."""
+    name, cols = "drugs2_reacs_sketches", config.cols
+    triples = _triples(spark, root, config, fmt).select("actual", "expected")
+    write_stage_table(cut_sketches(triples), root, name, cols, fmt)
+    every = merged_sketches(*[read_stage_table(spark, r, name, cols, fmt) for r in (root, *earlier)])
+    cuts = written(cuts_of_sketches(every))
+    write_stage_table(squashed_stats(binned_expected(triples, cuts)), root, "drugs2_reacs_stats", cols, fmt)
+
+
 def run_score(
     spark: SparkSession, root: str, config: SignalConfig = SignalConfig(), fmt: str = "parquet"
 ) -> None:
@@ -159,10 +195,13 @@ def run_all(
     fmt: str = "parquet",
     normalize_strata: bool = False,
     buckets: int | None = None,
-) -> None:
-    """All jobs in order, from report lines to the network."""
-    run_counts(*read_sources(spark, demos, drugs, reactions, normalize_strata), root, config, fmt, buckets)
+) -> DataFrame:
+    """All jobs in order, from report lines to the network; returns the line counts of the sources."""
+    observed = {name: Observation() for name in SOURCES}
+    sources = read_sources(spark, demos, drugs, reactions, normalize_strata, observed)
+    counted = run_counts(*sources, root, config, fmt, buckets, observed)
     run_expected(spark, root, config, fmt, buckets)
     run_squash(spark, root, config, fmt)
     run_score(spark, root, config, fmt)
     run_network(spark, root, config, fmt)
+    return counted

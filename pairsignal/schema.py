@@ -81,6 +81,9 @@ def stage_columns(name: str, cols: Columns = DEFAULT_COLUMNS) -> dict[str, str]:
             **by, **triple, **{c: "BIGINT" for c in ("n", "n_stratum", "n_drug1", "n_drug2", "n_react")}
         },
         "drugs2_reacs_actual_expected": actual_expected,
+        "drugs2_reacs_sketches": {
+            "actual": "BIGINT", "n_group": "BIGINT", "q0": "DOUBLE", "q10": "DOUBLE", "sketch": "BINARY"
+        },
         "drugs2_reacs_stats": {
             "actual": "BIGINT", "bin": "INT", "sum_expected": "DOUBLE", "weight": "BIGINT"
         },

@@ -7,7 +7,7 @@ line invalid and never fails the job.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pairsignal.schema import Columns, DEFAULT_COLUMNS
@@ -19,6 +19,7 @@ TRIM_CHARS = "'" + "".join(f"\\u{i:04x}" for i in range(33)) + "'"
 DEMO_FIELDS = {"isr": 0, "case_id": 1, "fda_dt": 7, "age": 11, "age_cod": 12, "gender": 13}
 DRUG_FIELDS = {"isr": 0, "drug_seq": 1, "drug": 3}
 REACT_FIELDS = {"isr": 0, "react": 1}
+SOURCES = ("demos", "drugs", "reactions")
 AGE_UNIT = "YR"
 GENDERS = ("M", "F")
 FIRST_YEAR = 2008
@@ -106,13 +107,18 @@ def react_fields(lines: DataFrame) -> DataFrame:
     return _parse(lines, fields, [f"size(f) > {at['react']}", f"{fields['isr']} IS NOT NULL"])
 
 
-def _only_valid(fields: DataFrame) -> DataFrame:
+def _only_valid(fields: DataFrame, seen: Observation | None = None) -> DataFrame:
+    if seen is not None:
+        fields = fields.observe(seen, F.count("*").alias("raw_lines"), F.count_if("valid").alias("valid_lines"))
     return fields.where("valid").drop("valid")
 
 
-def parse_demo(lines: DataFrame, normalize_strata: bool = False) -> DataFrame:
-    """Valid demographic rows.  Gender and date stay as written unless normalised."""
-    demo = _only_valid(demo_fields(lines))
+def parse_demo(lines: DataFrame, normalize_strata: bool = False, seen: Observation | None = None) -> DataFrame:
+    """Valid demographic rows.  Gender and date stay as written unless normalised.
+
+    ``seen`` observes the raw and valid lines in the job that first uses the rows; see ``line_counts``.
+    """
+    demo = _only_valid(demo_fields(lines), seen)
     if normalize_strata:
         demo = demo.withColumns(
             {
@@ -123,12 +129,19 @@ def parse_demo(lines: DataFrame, normalize_strata: bool = False) -> DataFrame:
     return demo
 
 
-def parse_drug(lines: DataFrame) -> DataFrame:
-    return _only_valid(drug_fields(lines))
+def parse_drug(lines: DataFrame, seen: Observation | None = None) -> DataFrame:
+    return _only_valid(drug_fields(lines), seen)
+
+
+def parse_react(lines: DataFrame, seen: Observation | None = None) -> DataFrame:
+    return _only_valid(react_fields(lines), seen)
 
 
-def parse_react(lines: DataFrame) -> DataFrame:
-    return _only_valid(react_fields(lines))
+def line_counts(spark: SparkSession, observed: dict[str, Observation]) -> DataFrame:
+    """Raw, valid and rejected lines of each source, from observations of jobs that have run."""
+    found = [(name, *(seen.get[k] for k in ("raw_lines", "valid_lines"))) for name, seen in observed.items()]
+    rows = [(name, raw, valid, raw - valid) for name, raw, valid in found]
+    return spark.createDataFrame(rows, "source string, raw_lines long, valid_lines long, rejected_lines long")
 
 
 def with_year(demo: DataFrame, date: str = "fda_dt", out: str = "fda_year") -> DataFrame:

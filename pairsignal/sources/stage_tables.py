@@ -45,7 +45,9 @@ def stage_path(root: str, name: str) -> str:
 
 
 def _said(field: Column, kind: str) -> Column:
-    """A list as its escaped members, each with ";" after it; other values as text."""
+    """A list as its escaped members, each with ";" after it; bytes in base 64; other values as text."""
+    if kind == "BINARY":
+        return _escaped(F.regexp_replace(F.base64(field), r"\s", ""))
     if kind != "ARRAY<STRING>":
         return _escaped(field.cast("string"))
     each = F.transform(field, lambda x: F.concat(_escaped(x), F.lit(";")))
@@ -53,6 +55,8 @@ def _said(field: Column, kind: str) -> Column:
 
 
 def _meant(text: Column, kind: str) -> Column:
+    if kind == "BINARY":
+        return F.unbase64(_unescaped(text))
     if kind != "ARRAY<STRING>":
         return _unescaped(text).cast(kind)
     members = F.transform(F.split(F.regexp_replace(text, ";$", ""), ";"), _unescaped)
