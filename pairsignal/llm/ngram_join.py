@@ -206,11 +206,13 @@ def linked_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
     first_prefixes = stored(_prefixes(firsts.select("node", "n", "ordered", "tokens"), percent))
     deleted(whole)  # the largest table, and read no more
     wanted = stored(_meeting(first_prefixes, percent).join(_row_keys(summaries), "node"))
+    deleted(first_prefixes)
     sets = _member_sets(docs, wanted.filter("copies = 1"), width)
     repeated = wanted.filter("copies > 1")
     if not repeated.isEmpty():  # rows that are wholly equal give their set once
         sets = sets.unionByName(_member_sets(docs, repeated, width).dropDuplicates(["node"]))
     sets = stored(sets)
+    deleted(wanted)
     prefixes = stored(_prefixes(sets.withColumn("ordered", F.col("n")), percent))
     group = prefixes.groupBy("n", "g1", "g2").agg(F.min("node").alias("gid"))
     members = stored(prefixes.join(group, ["n", "g1", "g2"]).select("node", "gid", "n"))
@@ -219,6 +221,7 @@ def linked_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
         .select(F.explode("prefix").alias("t"), "gid", "n", "weight").select("t.token", "gid", "n", "t.place", "weight")
     )
 
+    deleted(prefixes)
     # First round: the first group of each number, the first member of each group.
     pivots = stored(
         places.groupBy("token").agg(F.max(F.struct("weight", "gid", "n", "place")).alias("x"), F.count("*").alias("k"))
@@ -246,6 +249,7 @@ def linked_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
         spread.groupBy("token").agg(F.min("part").alias("p0"), F.max("part").alias("p1")).filter("p0 < p1").select("token")
     )
     open_ = stored(spread.join(mixed_tokens, "token"))
+    deleted(places)
     other = open_.toDF(*[c if c == "token" else f"{c}_" for c in open_.columns])
     meet = open_.join(other, "token").filter(
         (F.col("gid") <= F.col("gid_")) & (F.col("part") != F.col("part_"))
@@ -258,7 +262,10 @@ def linked_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         .join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     )
-    links2 = stored(_verified(stored(more), sets, percent))
+    more = stored(more)
+    deleted(open_)
+    links2 = stored(_verified(more, sets, percent))
+    deleted(sets)
     if not links2.isEmpty():
         joined = stored(connected_components(links.unionByName(links2)))
     return (
