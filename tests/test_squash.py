@@ -3,7 +3,18 @@ import random
 import pytest
 from conftest import rows
 
-from pairsignal.operators.squash import CUTS, binned_expected, quantile_cuts, squashed_stats
+from pairsignal.operators.squash import (
+    CUTS,
+    SKETCH_ERROR,
+    binned_expected,
+    cut_sketches,
+    cuts_of_sketches,
+    merged_sketches,
+    quantile_cuts,
+    rank_errors,
+    squashed_stats,
+)
+from pairsignal.sources.written import written
 
 
 def triples(spark, groups):
@@ -61,3 +72,26 @@ def test_bins(spark, groups):
 def test_single_row_group_is_in_the_middle(spark):
     df = triples(spark, {3: [3.0]})
     assert rows(squashed_stats(binned_expected(df, quantile_cuts(df)))) == [(3, 5, 3.0, 1)]
+
+
+def test_sketches_of_two_extracts_merge(spark):
+    """Cuts from merged sketches: exact ends and sizes, inner ranks within the bound, also when skewed."""
+    draw = random.Random(11)
+    groups = {3: [draw.lognormvariate(0, 3) for _ in range(20_000)], 4: [1.0] * 900 + [2.0] * 100, 5: [0.5]}
+    every = triples(spark, groups)
+    halves = [every.where(f"crc32(name) % 2 = {i}") for i in (0, 1)]
+    merged = merged_sketches(*[cut_sketches(h) for h in halves])
+    cuts = cuts_of_sketches(merged).cache()
+    assert cuts.columns == quantile_cuts(every).columns
+    for r in cuts.collect():
+        values = groups[r["actual"]]
+        assert (r["n_group"], r["q0"], r["q10"]) == (len(values), min(values), max(values))
+    errors = rank_errors(every, cuts).collect()
+    assert len(errors) == 27 and max(r["rank_error"] for r in errors) <= SKETCH_ERROR
+    assert {r["rank_error"] for r in rank_errors(every, quantile_cuts(every)).collect()} == {0.0}
+
+
+def test_stored_steps_change_no_cut(spark):
+    draw = random.Random(12)
+    every = triples(spark, {3: [draw.random() for _ in range(500)], 7: [draw.random() for _ in range(33)]})
+    assert rows(quantile_cuts(every, store=written)) == rows(quantile_cuts(every))

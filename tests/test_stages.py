@@ -1,8 +1,11 @@
 import os
+import shutil
 
 import pytest
 from conftest import rows
 
+from pyspark.sql import Observation
+
 from pairsignal.fixtures import demo_lines, drug_lines, react_lines, report_inputs
 from pairsignal.operators.counts import drug_counts, pair_react_counts, react_counts, stratum_counts
 from pairsignal.operators.expected import pair_marginals, report_actual_expected, report_marginals
@@ -13,6 +16,7 @@ from pairsignal.schema import Columns, DEFAULT_PARAMS, YEAR_COLUMNS
 from pairsignal.operators.reports import report_tables
 from pairsignal.sources import stage_tables
 from pairsignal.sources.stage_tables import read_stage_table, write_bucketed, write_stage_table
+from pairsignal.sources.lines import SOURCES, ingest_line_counts
 from pairsignal.sources.written import written
 
 SF = "/root/testdata/sf0.001"
@@ -127,3 +131,31 @@ def test_another_session_reads_the_bucketed_table(spark, tmp_path, example):
     spark.sql(f"DROP TABLE {name}")
     again = stages.bucketed_expected(spark, str(tmp_path), config, 4)
     assert "Exchange" not in again._jdf.queryExecution().executedPlan().toString() and rows(again) == want
+
+
+def test_lines_are_counted_by_the_jobs_that_parse_them(spark, tmp_path):
+    """The observed counts are those of ``ingest_line_counts``, and each source is read once."""
+    sources = {}
+    for name, make in (("demos", demo_lines), ("drugs", drug_lines), ("reactions", react_lines)):
+        sources[name] = str(tmp_path / name)
+        make(spark, SF).write.text(sources[name])
+    observed = {name: Observation() for name in SOURCES}
+    read = stages.read_sources(spark, **sources, observed=observed)
+    counted = stages.run_counts(*read, str(tmp_path / "out"), CONFIG, observed=observed)
+    want = ingest_line_counts(*[spark.read.text(sources[name]) for name in SOURCES])
+    assert rows(counted) == rows(want)
+
+
+def test_sketches_of_an_earlier_root_are_not_read_from_triples(spark, tmp_path):
+    """Squashing by merged sketches: weights are all triples of the new root, cuts those of both."""
+    data = [("A", "B", f"r{i}", 3, float(i)) for i in range(200)]
+    schema = "drug1 string, drug2 string, react string, actual long, expected double"
+    roots = [str(tmp_path / name) for name in ("old", "new")]
+    for fmt in ("parquet", "text"):
+        for root, part in zip(roots, (data[:100], data[100:])):
+            write_stage_table(spark.createDataFrame(part, schema), root, "drugs2_reacs_actual_expected", YEAR_COLUMNS, fmt)
+        stages.run_sketches(spark, roots[0], CONFIG, fmt)
+        shutil.rmtree(f"{roots[0]}/drugs2_reacs_actual_expected")
+        stages.run_sketches(spark, roots[1], CONFIG, fmt, earlier=[roots[0]])
+        stats = rows(read_stage_table(spark, roots[1], "drugs2_reacs_stats", YEAR_COLUMNS, fmt), "bin", "weight")
+        assert sum(w for _, w in stats) == 100 and min(b for b, _ in stats) >= 5
