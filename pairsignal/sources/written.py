@@ -11,8 +11,9 @@ import re
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,11 +32,32 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def released_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Jobs started here leave no shuffle files on the executors once they end.
+
+    What they made is in a table by then.  Should a plan that ran here run once more, Spark makes
+    the missing files again."""
+    before = spark.conf.get(RELEASE, None)
+    spark.conf.set(RELEASE, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(RELEASE)
+        else:
+            spark.conf.set(RELEASE, before)
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/pairsignal-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with released_shuffles(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
