@@ -12,7 +12,7 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairsignal.sources.written import shared_folder
+from pairsignal.sources.written import released_shuffles, shared_folder
 
 NO_ID = -(2**63)
 
@@ -55,7 +55,8 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     ship(spark)
     path = f"{shared_folder(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with released_shuffles(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
