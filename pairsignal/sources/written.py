@@ -14,6 +14,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +34,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_turn, _inside = Lock(), []  # what the session said before the first of the jobs that run at once
 
 
 @contextmanager
@@ -41,15 +43,18 @@ def released_shuffles(spark: SparkSession) -> Iterator[None]:
 
     What they made is in a table by then.  Should a plan that ran here run once more, Spark makes
     the missing files again."""
-    before = spark.conf.get(RELEASE, None)
-    spark.conf.set(RELEASE, "true")
+    with _turn:
+        _inside.append(_inside[0] if _inside else spark.conf.get(RELEASE, None))
+        spark.conf.set(RELEASE, "true")
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(RELEASE)
-        else:
-            spark.conf.set(RELEASE, before)
+        with _turn:
+            before = _inside.pop()
+            if not _inside and before is None:
+                spark.conf.unset(RELEASE)
+            elif not _inside:
+                spark.conf.set(RELEASE, before)
 
 
 def written(df: DataFrame) -> DataFrame:
