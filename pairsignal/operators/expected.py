@@ -16,7 +16,7 @@ from pairsignal.operators.pairs import (
     pair_outcome_products,
 )
 from pairsignal.operators.reports import ReportTables
-from pairsignal.operators.skew import ROWS_PER_SALT, heaviest_keys, join_spread, rows_of_keys
+from pairsignal.operators.skew import ROWS_PER_SALT, grows, heaviest_keys, join_spread, rows_of_keys
 from pairsignal.schema import Columns, DEFAULT_COLUMNS
 from pairsignal.sources.written import store_all, unwritten
 
@@ -33,21 +33,29 @@ def pair_marginals(
 
     The total rides on the (much smaller) outcome counts, so the pair table is joined three
     times, not four.  Names with many pair rows join in parts; the pair table is read once more
-    for each key to weigh them, so it should be a stored one.
+    for each key to weigh them, so it should be a stored one.  So should the counts, whose rows say
+    whether they may be sent to every task.
     """
     strata = [*cols.strata]
+    merge = grows(n_drug) or grows(n_react)
     rows = pair_counts
     for item, out in ((cols.item1, "n_drug1"), (cols.item2, "n_drug2")):
         counts = n_drug.select(*strata, F.col(cols.item).alias(item), F.col("n_drug").alias(out))
         others = [c for c in cols.triple if c != item]
         hot = heaviest_keys(rows_of_keys(pair_counts, [*strata, item]), [*strata, item], rows_per_salt=rows_per_salt)
-        rows = join_spread(rows, counts, [*strata, item], hot, others)
+        rows = join_spread(rows, counts, [*strata, item], hot, others, merge)
     keys = [*strata, cols.outcome]
     hot = heaviest_keys(rows_of_keys(pair_counts, keys), keys, rows_per_salt=rows_per_salt)
-    rows = join_spread(rows, n_react.join(n_stratum, strata), keys, hot, [cols.item1, cols.item2])
+    rows = join_spread(rows, with_totals(n_react, n_stratum, cols), keys, hot, [cols.item1, cols.item2], merge)
     return rows.select(*strata, *cols.triple, "n", "n_stratum", "n_drug1", "n_drug2", "n_react")
 
 
+def with_totals(n_react: DataFrame, n_stratum: DataFrame, cols: Columns) -> DataFrame:
+    """Attach the stratum total (a stored table) to the outcome counts."""
+    n_stratum = n_stratum.hint("merge") if grows(n_stratum) else F.broadcast(n_stratum)
+    return n_react.join(n_stratum, [*cols.strata])
+
+
 def expected_in_stratum() -> Column:
     """Reports expected under independence, in double throughout."""
     d = lambda c: F.col(c).cast("double")
@@ -71,16 +79,29 @@ def with_marginals(
 ) -> DataFrame:
     """Attach each name's count in its stratum, before any pair is formed.
 
+    ``counts`` should be a stored table.
+
     With ``min_actual``, names reported less often over all strata are left out: a triple
     cannot be reported more often than its rarest name, so none of the kept triples changes.
     """
-    keys = [*cols.strata, name]
+    keys, merge = [*cols.strata, name], grows(counts)
     # A distinct report has one row of the name: the count is the number of rows to be joined.
     hot = heaviest_keys(counts, keys, n, rows_per_salt)
     if min_actual > 1:
         often = counts.groupBy(name).agg(F.sum(n).alias("total")).where(F.col("total") >= min_actual)
-        counts = counts.join(often.select(name), name, "left_semi")
-    return join_spread(rows, counts, keys, hot, [cols.report])
+        often = often.select(name)
+        counts = counts.join(often.hint("merge") if merge else often, name, "left_semi")
+    return join_spread(rows, counts, keys, hot, [cols.report], merge)
+
+
+def _counts(
+    tables: ReportTables, cols: Columns, store: Callable[[DataFrame], DataFrame]
+) -> tuple[DataFrame, DataFrame]:
+    """Item counts, and outcome counts with the stratum total."""
+    n_drug, n_react, n_stratum = store_all(
+        store, drug_counts(tables.items, cols), react_counts(tables.outcomes, cols), stratum_counts(tables.reports, cols)
+    )
+    return n_drug, store(with_totals(n_react, n_stratum, cols))
 
 
 def report_marginals(
@@ -93,11 +114,7 @@ def report_marginals(
     """The rows of ``pair_marginals`` straight from the report tables: the counts ride on a report's
     items and outcomes, so the pair table is summed once and joined to nothing."""
     strata, totals = [*cols.strata], ["n_stratum", "n_drug1", "n_drug2", "n_react"]
-    n_drug, n_react = store_all(
-        store,
-        drug_counts(tables.items, cols),
-        react_counts(tables.outcomes, cols).join(stratum_counts(tables.reports, cols), strata),
-    )
+    n_drug, n_react = _counts(tables, cols, store)
     items = with_marginals(tables.items, n_drug, cols.item, "n_drug", cols, 1, rows_per_salt)
     outcomes = with_marginals(tables.outcomes, n_react, cols.outcome, "n_react", cols, 1, rows_per_salt)
     return pair_outcome_products(items, outcomes, cols, block).groupBy(*strata, *cols.triple).agg(
@@ -196,12 +213,7 @@ def report_actual_expected(
     ``worth_pruning`` of their rows, and tables are stored; the result is the same either way.
     """
     strata = [*cols.strata]
-    n_stratum = stratum_counts(tables.reports, cols)
-    n_drug, n_react = store_all(
-        store,
-        drug_counts(tables.items, cols),
-        react_counts(tables.outcomes, cols).join(n_stratum, strata),
-    )
+    n_drug, n_react = _counts(tables, cols, store)
     items = with_marginals(tables.items, n_drug, cols.item, "n_drug", cols, min_actual, rows_per_salt)
     outcomes = with_marginals(
         tables.outcomes, n_react, cols.outcome, "n_react", cols, min_actual, rows_per_salt

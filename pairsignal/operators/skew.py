@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 ROWS_PER_SALT = 1_000_000
 MOST_HOT = 100_000
+# A table of more rows than this is never sent whole to every task, however small its file is.
+MOST_SENT = 100_000
 
 
 def rows_of_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -33,6 +35,15 @@ def heaviest_keys(
     return counted.where(F.col("w") > part).select(*keys, F.ceil(F.col("w") / part).alias("salts"))
 
 
+def grows(table: DataFrame, most: int = MOST_SENT) -> bool:
+    """Whether a stored ``table`` has more rows than may be broadcast.
+
+    The planner goes by the size of its file.  Counts pack so well there that ten megabytes of
+    Parquet are gigabytes of rows in the driver, so rows are what is counted, from the footers.
+    """
+    return table.count() > most
+
+
 def join_spread(
     rows: DataFrame,
     table: DataFrame,

@@ -4,6 +4,7 @@ import itertools
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import rows
 
 from pairsignal.operators import counts, expected, pairs, reports, skew, squash
@@ -109,3 +110,15 @@ def test_pruning_rare_names_is_exact(skewed):
     t = reports.report_tables(demo, drug, react, COLS)
     every = rows(expected.report_actual_expected(t, COLS))
     assert rows(expected.report_actual_expected(t, COLS, min_actual=3)) == [r for r in every if r[3] >= 3]
+
+
+def test_counts_of_many_rows_are_not_sent_whole(spark, monkeypatch):
+    """Their file would be small enough for a broadcast; their rows in the driver would not."""
+    rows_of = spark.range(400).selectExpr("id AS isr", "CAST(id AS STRING) AS gender", "'a' AS drug")
+    counted = written(rows_of.groupBy("gender", "drug").agg(F.count("*").alias("n_drug")))
+    for most, sent in ((400, True), (399, False)):
+        monkeypatch.setattr(skew.grows, "__defaults__", (most,))
+        got = expected.with_marginals(rows_of, counted, "drug", "n_drug", COLS, 1)
+        assert len(got.collect()) == 400
+        plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert ("SortMergeJoin" not in plan) == sent
