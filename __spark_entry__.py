@@ -169,7 +169,8 @@ def _observed_counts(spark, sf):
 def _bucketed_expected(spark, sf):
     """Triples summed in place from the bucketed table of pair counts and marginals."""
     root, buckets, cols = _scratch(spark, "buckets"), 16, YEAR_COLUMNS
-    marginals = expected.report_marginals(_tables(spark, sf, cols), cols, store=written)
+    tables = reports.report_tables(*_inputs(spark, sf), cols, written)
+    marginals = expected.report_marginals(tables, cols, store=written)
     write_bucketed(marginals, root, stages.MARGINALS, cols.triple, buckets, cols)
     return _rounded(stages.bucketed_expected(spark, root, SCALE, buckets), 6, "expected")
 
