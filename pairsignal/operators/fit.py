@@ -332,7 +332,8 @@ def fit_starts(
     negative, or whose share lies at 0 or 1.  Without cells there is no row.
     """
     spark = cells.sparkSession
-    cells = store(_doubles(cells))
+    # Read once for every pass: cells of a small squashed table would all lie in one task.
+    cells = store(_doubles(cells).repartition(spark.sparkContext.defaultParallelism))
     nstar = smallest_count(cells)
     if nstar is None:
         return spark.createDataFrame([], FIT_SCHEMA)
