@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import astuple, dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame
@@ -89,28 +90,34 @@ def _terms(first: int, terms: int, alpha: str, q: str) -> str:
     return f"aggregate(sequence({first + terms - 1}, {first}, -1), {zero}, (s, k) -> {fold})"
 
 
-def _component(cells: DataFrame, i: int, nstar: int) -> DataFrame:
-    """Columns of component ``i``: ln pmf, ln P(count >= nstar) and its two derivatives.
+def _truncated(cells: DataFrame, i: int, nstar: int) -> DataFrame:
+    """Add ``ln_g``, ``_ga`` and ``_gb`` of component ``i``: ln P(count >= nstar), its derivatives.
 
     P is one minus the sum below nstar, but where that cancels (a small exposure) it is the
-    quickly falling sum from nstar on.
+    quickly falling sum from nstar on.  Both grow with nstar, and smallest counts grow with the
+    data, so from ``mixture_sums.FEW`` on P is an integral of fixed size.
     """
     a, b, q, l = f"alpha{i}", f"beta{i}", f"_q{i}", f"_l{i}"
+    names = (f"ln_g{i}", f"_ga{i}", f"_gb{i}")
+    if nstar > mixture_sums.FEW:
+        def reached(e: pd.Series, alpha: pd.Series, beta: pd.Series) -> pd.DataFrame:
+            with np.errstate(all="ignore"):
+                found = mixture_sums.reached(*(c.to_numpy("float64") for c in (e, alpha, beta)), nstar)
+            return pd.DataFrame(dict(zip(("ln_g", "ga", "gb"), found)))
+
+        integral = F.pandas_udf(reached, "ln_g double, ga double, gb double")
+        found = cells.withColumn(f"_t{i}", integral("e", a, b))
+        each = {name: F.col(f"_t{i}.{part}") for name, part in zip(names, ("ln_g", "ga", "gb"))}
+        return found.withColumns(each).drop(f"_t{i}")
     small = 10.0 ** (-7.0 / nstar)
     below = _terms(0, nstar - 1, a, q)
     above = _terms(nstar, math.ceil(16 * nstar / 7), a, q)
     ln_first = ln_nb_pmf(f"{nstar}D", "e", a, b)
     slope_first = f"({digamma(f'({a} + {nstar}D)')} - {digamma(a)} - {l})"
     by_beta = f"{a} * e / ({b} * ({b} + e))"
+    ln_g, g_a, g_b = names
     return (
         cells.withColumns(
-            {
-                q: F.expr(f"e / ({b} + e)"),
-                l: F.expr(f"log1p(e / {b})"),
-                f"ln_f{i}": F.expr(ln_nb_pmf("n", "e", a, b)),
-            }
-        )
-        .withColumns(
             {
                 f"_tail{i}": F.expr(f"{q} * greatest(1D, ({a} + {nstar}D) / {nstar + 1}D) < {small!r}D"),
                 f"_f0{i}": F.expr(f"exp(-{a} * {l})"),
@@ -120,24 +127,35 @@ def _component(cells: DataFrame, i: int, nstar: int) -> DataFrame:
         .withColumn(f"_g{i}", F.expr(f"-expm1(-{a} * {l}) - _f0{i} * _s{i}.beyond"))
         .withColumns(
             {
-                f"ln_g{i}": F.expr(
+                ln_g: F.expr(
                     f"CASE WHEN _tail{i} THEN {ln_first} + log1p(_s{i}.beyond) ELSE ln(_g{i}) END"
                 ),
-                f"_ga{i}": F.expr(
+                g_a: F.expr(
                     f"CASE WHEN _tail{i} THEN {slope_first} + _s{i}.slopes / (1D + _s{i}.beyond) "
                     f"ELSE _f0{i} * ({l} * (1D + _s{i}.beyond) - _s{i}.slopes) / _g{i} END"
                 ),
-                f"_gb{i}": F.expr(
+                g_b: F.expr(
                     f"CASE WHEN _tail{i} "
                     f"THEN {by_beta} - ({nstar}D + _s{i}.steps / (1D + _s{i}.beyond)) / ({b} + e) "
                     f"ELSE _f0{i} * (_s{i}.steps / ({b} + e) - {by_beta} * (1D + _s{i}.beyond)) / _g{i} END"
                 ),
             }
         )
-        .drop(*[f"_{c}{i}" for c in ("tail", "s", "f0", "g", "q")])
+        .drop(*[f"_{c}{i}" for c in ("tail", "s", "f0", "g")])
     )
 
 
+def _component(cells: DataFrame, i: int, nstar: int) -> DataFrame:
+    """Columns of component ``i``: ln pmf, ln P(count >= nstar) and its two derivatives."""
+    a, b = f"alpha{i}", f"beta{i}"
+    shared = {
+        f"_q{i}": F.expr(f"e / ({b} + e)"),
+        f"_l{i}": F.expr(f"log1p(e / {b})"),
+        f"ln_f{i}": F.expr(ln_nb_pmf("n", "e", a, b)),
+    }
+    return _truncated(cells.withColumns(shared), i, nstar).drop(f"_q{i}")
+
+
 def _score(cells: DataFrame, i: int) -> DataFrame:
     """Derivatives of the log truncated pmf of component ``i`` by alpha and beta."""
     a, b = f"alpha{i}", f"beta{i}"

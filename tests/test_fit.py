@@ -4,6 +4,7 @@ import math
 import numpy as np
 import pytest
 
+from pairsignal.functions import mixture_sums
 from pairsignal.operators import fit
 from pairsignal.schema import DEFAULT_PARAMS, MixtureParams
 from pairsignal.sources.written import unwritten
@@ -57,6 +58,31 @@ def test_large_smallest_count(spark):
     assert math.isfinite(fit.mixture_gradient(df, PLAIN).first()["d_beta2"])
 
 
+def test_smallest_count_of_millions(spark):
+    """Large tables have large smallest counts; with alpha 1 and 2 the tail is a closed form."""
+    first, params = 3_000_000, MixtureParams(1.0, 0.5, 2.0, 4.0, 0.4)
+    data = [(first + i * i, 1 + i % 2, 1e6 * 1.5**i) for i in range(12)]
+    df = spark.createDataFrame(data, "n long, w long, e double")
+    for r in fit.truncated_pmf(df, params).collect():
+        more = r["n"] - first
+        miss1, miss2 = 0.5 / (0.5 + r["e"]), 4.0 / (4.0 + r["e"])
+        assert r["ln_fstar1"] == pytest.approx(math.log(miss1) + more * math.log1p(-miss1), abs=1e-6)
+        tail = math.log1p(first * miss2)
+        want = math.log(r["n"] + 1) + 2 * math.log(miss2) + more * math.log1p(-miss2) - tail
+        assert r["ln_fstar2"] == pytest.approx(want, abs=1e-6)
+    fitted = fit.fit_starts(df, fit.random_starts(3), max_iterations=3).collect()
+    assert len(fitted) == 3 and all(r["loglik"] < 0 for r in fitted)
+    step = fit.fit_step(df, params).first()
+    assert step["loglik"] == pytest.approx(fit.mixture_loglik(df, params).first()[0], rel=1e-10)
+
+
+@pytest.mark.parametrize("a, b", [(0.2, 0.1), (1e-4, 0.3), (30.0, 8.0), (300.0, 300.0)])
+def test_integral_and_sum_agree(a, b):
+    e = 40.0 * 1.1 ** np.arange(-20.0, 20.0)
+    for got, want in zip(mixture_sums.reached(e, a, b, 32), mixture_sums._summed(e, a, b, 32)):
+        assert got == pytest.approx(want, rel=1e-6, abs=1e-9)
+
+
 def test_loglik_with_one_component(cells):
     want = sum(r["w"] * ln_truncated(r["n"], r["e"], DEFAULT_PARAMS.alpha1, DEFAULT_PARAMS.beta1, 3) for r in cells.collect())
     assert fit.mixture_loglik(cells, DEFAULT_PARAMS).first()[0] == pytest.approx(want, rel=1e-6)
