@@ -22,11 +22,19 @@ import oracle  # noqa: E402
 from pairsignal import fixtures  # noqa: E402
 from pairsignal.operators import counts, expected, fit, network, pairs, reports, score, squash  # noqa: E402
 from pairsignal.plans import stages  # noqa: E402
-from pairsignal.plans.signals import SignalConfig, find_signals, find_triples, signal_network, squashed  # noqa: E402
+from pairsignal.plans.signals import (  # noqa: E402
+    SignalConfig,
+    find_signals,
+    find_triples,
+    signal_network,
+    signals_of,
+    squashed,
+    triples_of,
+)
 from pairsignal.schema import DEFAULT_COLUMNS, MixtureParams, YEAR_COLUMNS  # noqa: E402
 from pairsignal.sources import lines  # noqa: E402
 from pairsignal.sources.stage_tables import read_stage_table, write_bucketed, write_stage_table  # noqa: E402
-from pairsignal.sources.written import shared_folder, written  # noqa: E402
+from pairsignal.sources.written import shared_folder, store_all, written  # noqa: E402
 
 try:  # the folder of these operators may be absent; nothing else that is missing is passed over
     import corpus_pipeline
@@ -194,9 +202,16 @@ def _stage_digests(spark, sf, fmt):
     """Every stage table written and read again: rows, sum of all numbers, letters in all texts."""
     cols = YEAR_COLUMNS
     demo, drug, react = _inputs(spark, sf)
+    demo = written(demo)
+    drug, react = store_all(
+        written,
+        reports.of_reports(drug.select(cols.report, cols.item), demo, cols),
+        reports.of_reports(react.select(cols.report, cols.outcome), demo, cols),
+    )
     t = reports.report_tables(demo, drug, react, cols, written)
-    triples = _triples(spark, sf)
-    signals = written(_signals(NETWORK)(spark, sf))
+    found = written(triples_of(t, SCALE))
+    triples = written(_rounded(found, 9, "expected"))
+    signals = written(_rounded(signals_of(found, NETWORK), 6, "expected", "rrr", "ebgm", "ebci"))
     nodes, edges = signal_network(signals)
     tables = {
         "strat_drugs1_reacs": pairs.report_drug_react(demo, drug, react, cols, store=written),

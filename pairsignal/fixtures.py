@@ -17,15 +17,27 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _as_lines(lines: DataFrame, header: str) -> DataFrame:
-    """Lines and a header line, spread over all cores as the splits of text files are.
+def _spread(table: DataFrame) -> bool:
+    """Whether the tasks that read ``table`` have rows for all cores: none has twice its share.
 
-    The driver tables are one row group each and so would be read and parsed by one task.
+    Row groups say how rows lie, and are counted without reading a column.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    rows = table.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"))
+    found = rows.agg(F.max("n").alias("most"), F.sum("n").alias("all")).first()
+    return found["all"] is not None and found["most"] * cores <= 2 * found["all"]
+
+
+def _as_lines(lines: DataFrame, header: str, table: DataFrame) -> DataFrame:
+    """Lines of the rows of ``table`` and a header line, spread over all cores as the splits of text
+    files are.
+
+    A small driver table is one row group and so would be read and parsed by one task; a large one
+    has many and lies spread already.
     """
     spark = lines.sparkSession
-    return lines.union(spark.range(1).select(F.lit(header).alias("value"))).repartition(
-        spark.sparkContext.defaultParallelism
-    )
+    lines = lines.union(spark.range(1).select(F.lit(header).alias("value")))
+    return lines if _spread(table) else lines.repartition(spark.sparkContext.defaultParallelism)
 
 
 def demo_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,14 +54,15 @@ def demo_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     line = ", ".join(fields.get(i, "''") for i in range(14))
     orders = _table(spark, sf_dir, "orders")
-    return _as_lines(orders.selectExpr(f"concat_ws('$', {line}) AS value"), DEMO_HEADER)
+    return _as_lines(orders.selectExpr(f"concat_ws('$', {line}) AS value"), DEMO_HEADER, orders)
 
 
 def drug_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = _table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey")
-    rows = _table(spark, sf_dir, "lineitem").join(part, "l_partkey")
+    lineitem = _table(spark, sf_dir, "lineitem")
+    rows = lineitem.join(part, "l_partkey")
     line = "concat_ws('$', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING), '', p_brand)"
-    return _as_lines(rows.selectExpr(f"{line} AS value"), DRUG_HEADER)
+    return _as_lines(rows.selectExpr(f"{line} AS value"), DRUG_HEADER, lineitem)
 
 
 def react_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,9 +70,10 @@ def react_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "s_suppkey AS l_suppkey", "s_nationkey AS n_nationkey"
     )
     nation = _table(spark, sf_dir, "nation")
-    rows = _table(spark, sf_dir, "lineitem").join(supplier, "l_suppkey").join(nation, "n_nationkey")
+    lineitem = _table(spark, sf_dir, "lineitem")
+    rows = lineitem.join(supplier, "l_suppkey").join(nation, "n_nationkey")
     line = "concat_ws('$', CAST(l_orderkey AS STRING), n_name)"
-    return _as_lines(rows.selectExpr(f"{line} AS value"), REACT_HEADER)
+    return _as_lines(rows.selectExpr(f"{line} AS value"), REACT_HEADER, lineitem)
 
 
 def report_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pairsignal.operators.expected import report_actual_expected
 from pairsignal.operators.fit import PLAIN_START, fit_input, fit_mixture_multistart, fitted_params
 from pairsignal.operators.network import combination_filter, signal_edges, signal_nodes
-from pairsignal.operators.reports import report_tables
+from pairsignal.operators.reports import ReportTables, report_tables
 from pairsignal.operators.score import STRONG, scored_signals
 from pairsignal.operators.squash import binned_expected, quantile_cuts, squashed_stats
 from pairsignal.schema import Columns, DEFAULT_COLUMNS, DEFAULT_PARAMS, MixtureParams
@@ -56,7 +56,13 @@ def find_triples(
     store: Callable[[DataFrame], DataFrame] = written,
 ) -> DataFrame:
     """Actual and expected counts of the triples reported often enough to be scored."""
-    tables = report_tables(demo, drug, react, config.cols, store)
+    return triples_of(report_tables(demo, drug, react, config.cols, store), config, store)
+
+
+def triples_of(
+    tables: ReportTables, config: SignalConfig, store: Callable[[DataFrame], DataFrame] = written
+) -> DataFrame:
+    """``find_triples`` of report tables that are there already."""
     return report_actual_expected(tables, config.cols, config.min_actual, store=store)
 
 
@@ -72,6 +78,16 @@ def find_signals(
     triples = find_triples(demo, drug, react, config, store)
     if not isinstance(config.params, MixtureParams):
         triples = store(triples)
+    return signals_of(triples, config, store, order)
+
+
+def signals_of(
+    triples: DataFrame,
+    config: SignalConfig = SignalConfig(),
+    store: Callable[[DataFrame], DataFrame] = written,
+    order: bool = True,
+) -> DataFrame:
+    """``find_signals`` of triples that are there already, stored ones where the mixture is fitted."""
     params = mixture_for(triples, config, store)
     return scored_signals(
         triples, params, config.min_actual, config.posterior, config.cap, config.min_ebci, order, store

@@ -14,8 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairsignal.schema import Columns, DEFAULT_COLUMNS, STAGE_SEPARATORS, stage_columns
+from pairsignal.sources.written import released_shuffles
 
 
+# Text is zipped, and a zipped file is read by one task, so a file holds this many lines at most.
+LINES = 2_000_000
+
 # How text says what its separator would hide: a null, and the signs themselves.
 NULL = "\\N"
 ESCAPES = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("$", "\\d"), (",", "\\c"), (";", "\\s"))
@@ -79,11 +83,14 @@ def write_stage_table(
     columns = stage_columns(name, cols)
     path = stage_path(root, name)
     if fmt == "parquet":
-        df.select(*[F.col(f"`{c}`") for c in columns]).write.mode("overwrite").parquet(path)
+        with released_shuffles(df.sparkSession):
+            df.select(*[F.col(f"`{c}`") for c in columns]).write.mode("overwrite").parquet(path)
     elif fmt == "text":
         sep = STAGE_SEPARATORS.get(name, "$")
         fields = [_said(F.col(f"`{c}`"), kind) for c, kind in columns.items()]
-        df.select(F.concat_ws(sep, *fields).alias("value")).write.mode("overwrite").text(path)
+        lines = df.select(F.concat_ws(sep, *fields).alias("value"))
+        with released_shuffles(df.sparkSession):
+            lines.write.mode("overwrite").option("maxRecordsPerFile", LINES).text(path, compression="gzip")
     else:
         raise ValueError(f"unknown stage format {fmt!r}")
     return path

@@ -6,14 +6,15 @@ from conftest import rows
 
 from pyspark.sql import Observation
 
+from pairsignal import fixtures
 from pairsignal.fixtures import demo_lines, drug_lines, react_lines, report_inputs
 from pairsignal.operators.counts import drug_counts, pair_react_counts, react_counts, stratum_counts
 from pairsignal.operators.expected import pair_marginals, report_actual_expected, report_marginals
 from pairsignal.operators.fit import mixture_loglik, fit_input
 from pairsignal.plans import stages
-from pairsignal.plans.signals import SignalConfig, find_signals, find_triples, mixture_for, squashed
+from pairsignal.plans.signals import SignalConfig, find_signals, find_triples, mixture_for, signals_of, squashed, triples_of
 from pairsignal.schema import Columns, DEFAULT_PARAMS, YEAR_COLUMNS
-from pairsignal.operators.reports import report_tables
+from pairsignal.operators.reports import of_reports, report_tables
 from pairsignal.sources import stage_tables
 from pairsignal.sources.stage_tables import read_stage_table, write_bucketed, write_stage_table
 from pairsignal.sources.lines import SOURCES, ingest_line_counts
@@ -73,6 +74,33 @@ def test_squashed_text_is_comma_separated(spark, tmp_path):
     assert rows(spark.read.text(path)) == [("3,5,3.5,2",)]
 
 
+def test_text_is_zipped_in_files_of_bounded_length(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stage_tables, "LINES", 100)
+    df = spark.range(1000).repartition(1).selectExpr("id AS source", "id AS target", "0.5D AS weight", "array('a') AS reactions")
+    path = write_stage_table(df, str(tmp_path), "network_edges", fmt="text")
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(files) == 10 and all(f.endswith(".gz") for f in files)
+    assert rows(read_stage_table(spark, str(tmp_path), "network_edges", fmt="text")) == rows(df)
+
+
+def test_tables_that_are_there_give_the_same_signals(spark, example):
+    demo, drug, react = example
+    config = SignalConfig(cols=Columns(strata=("gender",)), min_actual=1, min_ebci=0.0)
+    ids = demo.where("isr > 2")
+    few = [of_reports(df, ids, config.cols) for df in (drug, react)]
+    assert {r[0] for r in rows(few[0])} == {3, 4} and len(rows(few[0])) == 3 and len(rows(few[1])) == 2
+    triples = written(triples_of(report_tables(ids, *few, config.cols, written), config))
+    assert rows(triples) == rows(find_triples(ids, drug, react, config))
+    assert rows(signals_of(triples, config)) == rows(find_signals(ids, drug, react, config))
+
+
+def test_rows_that_lie_spread_are_not_shuffled(spark, tmp_path):
+    for groups, spread in ((1, False), (8, True)):
+        path = str(tmp_path / str(groups))
+        spark.range(8000).repartition(groups).write.parquet(path)
+        assert fixtures._spread(spark.read.parquet(path)) == spread
+
+
 def test_staged_run_equals_the_chain(spark, tmp_path):
     sources = {}
     for name, make in (("demos", demo_lines), ("drugs", drug_lines), ("reactions", react_lines)):
