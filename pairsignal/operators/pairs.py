@@ -210,7 +210,7 @@ def report_pair_react(
         ),
     )
     sizes = join_reports(
-        multi_drug_reports(items, cols),
+        items.groupBy(cols.report).agg(F.count("*").alias("n_items")).where("n_items > 1"),
         outcomes.groupBy(cols.report).agg(F.count("*").alias("n_outcomes")),
         cols,
     )
