@@ -94,14 +94,20 @@ def report_tables(
     ``store`` is applied to each table that is read more than once; with ``written`` each
     source is parsed once and no join is repeated.
     """
+    reports = store(
+        complete(demo, cols.report, *cols.strata).select(cols.report, *cols.strata).distinct()
+    )
+    if store is not unwritten:  # stored before they are grouped, a large report's rows are filtered in parts
+        drug, react = store_all(
+            store,
+            of_reports(complete(drug, cols.report, cols.item).select(cols.report, cols.item), reports, cols),
+            of_reports(complete(react, cols.report, cols.outcome).select(cols.report, cols.outcome), reports, cols),
+        )
     items, outcomes = store_all(
         store, distinct_report_drugs(drug, cols), distinct_report_reacts(react, cols)
     )
     n_items = items.groupBy(cols.report).agg(F.count("*").alias("n_items"))
     n_outcomes = outcomes.groupBy(cols.report).agg(F.count("*").alias("n_outcomes"))
-    reports = (
-        complete(demo, cols.report, *cols.strata).select(cols.report, *cols.strata).distinct()
-    )
     reports = store(join_reports(join_reports(reports, n_items, cols), n_outcomes, cols))
     items, outcomes = store_all(
         store,

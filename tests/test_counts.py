@@ -3,7 +3,7 @@ import random
 import pytest
 from conftest import rows
 
-from pairsignal.operators import expected
+from pairsignal.operators import expected, reports
 from pairsignal.operators.counts import (
     drug_counts,
     drug_react_counts,
@@ -138,3 +138,19 @@ def test_names_that_are_all_frequent_are_not_counted_again(spark):
     t = report_tables(demo, drug, react)
     shares = expected._most_pruned(t, drug_counts(t.items), react_counts(t.outcomes), DEFAULT_COLUMNS, 3)
     assert max(shares) <= expected.WORTH_PRUNING
+
+
+def test_rows_of_other_reports_go_before_they_are_grouped(spark, example):
+    """Stored tables hold the reports of the demographics only, and are those made without a filter."""
+    demo, drug, react = example
+    demo, kept, cols = demo.where("isr > 2"), [], Columns(strata=("gender",))
+
+    def store(df):
+        kept.append(written(df))
+        return kept[-1]
+
+    stored, plain = reports.report_tables(demo, drug, react, cols, store), reports.report_tables(demo, drug, react, cols)
+    for name in ("reports", "items", "outcomes"):
+        want = getattr(plain, name)
+        assert rows(getattr(stored, name), *want.columns) == rows(want)
+    assert all({r["isr"] for r in df.collect()} <= {3, 4} for df in kept)
