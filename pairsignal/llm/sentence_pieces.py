@@ -14,8 +14,9 @@ their perturbed scores, and the largest priority left after the last one is the
 the inclusion score log P(included) = log(1 - exp(-exp(log p - kappa))).
 
 No piece crosses a break before a blank or beside a sign outside the vocabulary, so a lattice is a
-chain of units, and equal units of a batch share one.  Lattices, log sums, samples and priorities of
-all texts of a batch are computed side by side in numpy.  All random numbers are hashes of (seed,
+chain of units, and equal units share one; a worker keeps the lattices of the units it has met, up to
+KEPT nodes of them, from batch to batch.  Lattices, log sums, samples and priorities of all texts of a
+batch are computed side by side in numpy.  All random numbers are hashes of (seed,
 row key, sample, place): a row's samples do not depend on its neighbours, its partition or a retry.
 
 Encoding loses nothing: blanks become the piece sign, signs outside the vocabulary (and a literal
@@ -46,6 +47,7 @@ SEED = 20240501
 BLANK = 0x2581
 STRANGE = 0x110000  # stands for a literal piece sign
 CHUNK = 1 << 17  # characters whose lattices are made at once; a longer text is a chunk of its own
+KEPT = 1 << 20  # nodes of lattices that are kept for the next chunk
 _INVERSE = np.uint64(pow(int(_FACTOR), -1, 2**64))
 
 _OPEN: dict = {}
@@ -96,10 +98,18 @@ class Pieces:
             powers = np.cumprod(np.full(length, _FACTOR))
             hashes = (mixed(codes) * powers).sum(axis=1)
             order = np.argsort(hashes)
-            # Most substrings are no piece: a bit per hash prefix tells so with one look.
-            maybe = np.zeros(1 << 18, bool)
-            maybe[(hashes >> np.uint64(46)).astype(np.int64)] = True
+            # Most substrings are no piece, and no piece begins with most of them: a byte per hash
+            # prefix tells so with one look (1: may be a piece, 2: a piece may go on).
+            maybe = np.zeros(1 << 18, np.uint8)
+            maybe[_slot(hashes)] = 1
             self.table[length] = hashes[order], np.array([i for _, i in rows])[order], maybe
+        for length in range(1, max(self.table, default=0)):
+            if length not in self.table:
+                self.table[length] = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(1 << 18, np.uint8)
+            longer = [c[:length] for n, rows in by_length.items() if n > length for c, _ in rows]
+            powers = np.cumprod(np.full(length, _FACTOR))
+            self.table[length][2][_slot((mixed(np.array(longer)) * powers).sum(axis=1))] |= 2
+        self.kept = _Lattices(self)
         self.lengths = np.array([len(p) for p in parts])
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.data = np.frombuffer(b"".join(parts), np.uint8)
@@ -111,17 +121,79 @@ class Pieces:
         return self.data[at].tobytes()[1:]  # without the blank in front
 
 
+def _slot(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(46)).astype(np.int64)
+
+
 def pieces_of(path: str) -> Pieces:
     if path not in _OPEN:
         _OPEN[path] = Pieces(path)
     return _OPEN[path]
 
 
+class _Grown:
+    """An array that grows at its end; what ``all`` gave before stays as it was."""
+
+    def __init__(self, kind: type):
+        self.room, self.n = np.empty(1 << 12, kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        stop = self.n + len(values)
+        if stop > len(self.room):
+            room = np.empty(max(stop, 2 * len(self.room)), self.room.dtype)
+            room[:self.n] = self.all()
+            self.room = room
+        self.room[self.n:stop] = values
+        self.n = stop
+
+    def all(self) -> np.ndarray:
+        return self.room[:self.n]
+
+
+class _Lattices:
+    """Lattices of units, found again by the hash of their characters."""
+
+    # first edge of each node (and their number), first node of each unit, and of each edge its nodes,
+    # piece, bytes of an unknown sign, log probability, running sum and whether its node has no other.
+    KINDS = {"first": np.int64, "node0": np.int64, "src": np.int32, "dst": np.int32, "ids": np.int32,
+             "size": np.int8, "logp": np.float64, "upto": np.float64, "single": bool}
+
+    def __init__(self, pieces: Pieces):
+        self.pieces = pieces
+        self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.grown = {c: _Grown(kind) for c, kind in self.KINDS.items()}
+        self.grown["first"].add(np.zeros(1, np.int64))
+
+    def numbers_of(self, hashes: np.ndarray, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Number of each of some different units, after lattices of the new ones are made."""
+        at = np.searchsorted(self.hashes, hashes)
+        new = np.ones(len(hashes), bool)
+        inside = at < len(self.hashes)
+        new[inside] = self.hashes[at[inside]] != hashes[inside]
+        if new.any():
+            count = self.grown["node0"].n
+            self._made(codes, starts[new], lengths[new])
+            self.hashes = np.insert(self.hashes, at[new], hashes[new])
+            self.numbers = np.insert(self.numbers, at[new], np.arange(count, self.grown["node0"].n))
+            at = np.searchsorted(self.hashes, hashes)
+        return self.numbers[at]
+
+    def _made(self, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
+        made = _Lattice(self.pieces, codes, starts, lengths)
+        nodes, edges = self.grown["first"].n - 1, self.grown["src"].n
+        self.grown["first"].add(made.first[1:] + edges)
+        for c in ("node0", "src", "dst"):
+            self.grown[c].add(getattr(made, c) + nodes)
+        degree = np.diff(made.first)
+        made.single = np.repeat(degree == 1, degree)
+        for c in ("ids", "size", "logp", "upto", "single"):
+            self.grown[c].add(getattr(made, c))
+
+
 class _Chunk:
     """Lattices of some texts: ``codes`` are their characters, with a blank in front of each."""
 
     def __init__(self, pieces: Pieces, codes: np.ndarray, starts: np.ndarray):
-        self.pieces, self.codes = pieces, codes
         n = len(codes)
         blank, strange = codes == BLANK, ~pieces.known[codes]
         opens = blank.copy()
@@ -135,37 +207,62 @@ class _Chunk:
         powers = np.cumprod(np.full(max(int(self.length.max()), 1), _FACTOR))
         place = np.arange(n) - np.repeat(self.unit, self.length)
         hashes = mixed(np.add.reduceat(mixed(codes.astype(np.uint64)) * powers[place], self.unit))
-        _, sample, self.which = np.unique(hashes, return_index=True, return_inverse=True)
-        self._lattice(self.unit[sample], self.length[sample])
-        self.base = self.node0[self.which]  # first node of each unit's lattice
+        hashes, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
+        if pieces.kept.grown["first"].n > KEPT:
+            pieces.kept = _Lattices(pieces)
+        number = pieces.kept.numbers_of(hashes, codes, self.unit[sample], self.length[sample])
+        for c, grown in pieces.kept.grown.items():
+            setattr(self, c, grown.all())
+        self.base = self.node0[number[which]]  # first node of each unit's lattice
         self.end = self.base + self.length
 
-    def _lattice(self, starts: np.ndarray, lengths: np.ndarray) -> None:
-        """Nodes lie between characters; the edges of a node lie together, nodes in order."""
-        p = self.pieces
+    def draw(self, path: np.ndarray, place: np.ndarray, node: np.ndarray, end: np.ndarray, seeds: np.ndarray) -> None:
+        """Fills ``path`` (edge by place of its first character) from the given places to the ends
+        of their units, with edges drawn by probability."""
+        while len(place):
+            u = _uniform(seeds, place)
+            edge = self.first[node]
+            more = np.flatnonzero(u > self.upto[edge])
+            while len(more):
+                edge[more] += 1
+                more = more[u[more] > self.upto[edge[more]]]
+            path[place] = edge
+            step = self.dst[edge] - node
+            place, node = place + step, node + step
+            on = node < end
+            place, node, end, seeds = place[on], node[on], end[on], seeds[on]
+
+
+class _Lattice:
+    """The units at some places.  Nodes lie between characters; the edges of a node lie together,
+    nodes in order."""
+
+    def __init__(self, p: Pieces, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
         self.node0 = np.cumsum(lengths + 1) - lengths - 1
         nodes = int((lengths + 1).sum())
         place = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        codes = self.codes[np.repeat(starts, lengths) + place]
+        codes = codes[np.repeat(starts, lengths) + place]
         source = np.repeat(self.node0, lengths) + place
         left = np.repeat(lengths, lengths) - place  # characters from here to the unit's end
         powers = np.cumprod(np.full(len(codes) + 1, _FACTOR)) * _INVERSE
         back = np.cumprod(np.full(len(codes) + 1, _INVERSE)) * _FACTOR * _FACTOR
         sums = np.concatenate([[np.uint64(0)], np.cumsum(mixed(codes.astype(np.uint64)) * powers[:-1])])
         src, dst, ids = [], [], []
-        for length, (known, piece, maybe) in sorted(p.table.items(), reverse=True):
-            if length > len(codes):
-                continue
-            h = (sums[length:] - sums[:-length]) * back[: len(sums) - length]
-            some = maybe[(h >> np.uint64(46)).astype(np.int64)]
-            some &= left[: len(some)] >= length
-            at = np.flatnonzero(some)
-            h = h[at]
-            i = np.minimum(np.searchsorted(known, h), len(known) - 1)
-            hit = known[i] == h
-            src.append(source[at[hit]])
-            dst.append(source[at[hit]] + length)
-            ids.append(piece[i[hit]])
+        at = np.arange(len(codes))  # where a piece of this length may begin
+        for length, (known, piece, maybe) in sorted(p.table.items()):
+            h = (sums[at + length] - sums[at]) * back[at]
+            said = maybe[_slot(h)]
+            some = np.flatnonzero(said & 1)
+            own, h = source[at[some]], h[some]
+            if len(some):
+                i = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                hit = known[i] == h
+                src.append(own[hit])
+                dst.append(own[hit] + length)
+                ids.append(piece[i[hit]])
+            at = at[said >= 2]
+            at = at[left[at] > length]
+        src, dst, ids = src[::-1], dst[::-1], ids[::-1]
         strange = np.flatnonzero(~p.known[codes])
         src.append(source[strange])
         dst.append(source[strange] + 1)
@@ -216,22 +313,6 @@ class _Chunk:
             at = at + 1
         self.upto[ends] = 2.0  # the last edge takes the rest
 
-    def draw(self, path: np.ndarray, place: np.ndarray, node: np.ndarray, end: np.ndarray, seeds: np.ndarray) -> None:
-        """Fills ``path`` (edge by place of its first character) from the given places to the ends
-        of their units, with edges drawn by probability."""
-        while len(place):
-            u = _uniform(seeds, place)
-            edge = self.first[node]
-            more = np.flatnonzero(u > self.upto[edge])
-            while len(more):
-                edge[more] += 1
-                more = more[u[more] > self.upto[edge[more]]]
-            path[place] = edge
-            step = self.dst[edge] - node
-            place, node = place + step, node + step
-            on = node < end
-            place, node, end, seeds = place[on], node[on], end[on], seeds[on]
-
 
 def _uniform(seeds: np.ndarray, place: np.ndarray) -> np.ndarray:
     """In (0, 1), by hash."""
@@ -260,9 +341,11 @@ class _Family:
         for a, b in zip(first.tolist(), (first + size).tolist()):
             before[a] = 0.0
             np.cumsum(lp[a:b - 1], out=before[a + 1:b])
+        # Sets lie from the branch on, where another edge leaves the same node.
+        live = np.flatnonzero((at >= branch[whose]) & ~chunk.single[edge])
+        location = np.full(len(lp), -np.inf)
         with np.errstate(divide="ignore"):
-            location = before + np.log1p(-np.minimum(np.exp(lp), 1.0))
-        location[at < branch[whose]] = -np.inf
+            location[live] = before[live] + np.log1p(-np.minimum(np.exp(lp[live]), 1.0))
         for t, gone in taken.items():  # at a branch, edges taken before are left out as well
             i = np.searchsorted(at, branch[t])
             rest = 1 - np.exp(chunk.logp[[*gone, path[branch[t]]]]).sum()
@@ -271,12 +354,12 @@ class _Family:
                 location[i] = -np.inf
             else:
                 location[i] = before[i] + np.log(rest)
-        alone = chunk.first[chunk.src[edge] + 1] - chunk.first[chunk.src[edge]] == 1
-        location[alone] = -np.inf
         self.path, self.texts, self.branch, self.taken = path, texts, branch, taken
         self.docs, self.text_of = docs, text_of
         self.at, self.first, self.size = at, first, size
-        self.priority = _cut_gumbel(location, perturbed[whose], _uniform(seeds[whose], at))
+        self.priority = np.full(len(lp), -np.inf)
+        whose, place = whose[live], at[live]
+        self.priority[live] = _cut_gumbel(location[live], perturbed[whose], _uniform(seeds[whose], place))
         self.logp = np.zeros(docs)
         self.logp[texts] = np.add.reduceat(lp, first)
 
@@ -351,7 +434,8 @@ def sampled(pieces: Pieces, codes: np.ndarray, starts: np.ndarray, seeds: np.nda
             gone = [*(f.taken.get(t, []) if place == f.branch[t] else []), int(f.path[place])]
             node = chunk.src[f.path[place]]
             choice = np.arange(chunk.first[node], chunk.first[node + 1])
-            choice = choice[~np.isin(choice, gone)]
+            for edge in gone:
+                choice = choice[choice != edge]
             share = np.exp(chunk.logp[choice] - chunk.logp[choice].max())
             edge = choice[min(int(np.searchsorted(np.cumsum(share), own[t] * share.sum())), len(choice) - 1)]
             path[starts[t]:place] = f.path[starts[t]:place]
@@ -382,12 +466,17 @@ def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def _byte_ids(pieces: Pieces, chunk: _Chunk, edges: np.ndarray) -> np.ndarray:
     """Ids of the edges' pieces, with byte pieces where a sign has no piece."""
     ids, size = chunk.ids[edges], chunk.size[edges]
+    signs = np.flatnonzero(ids < 0)
+    if not len(signs):
+        return ids.astype("<u2")
     out = np.repeat(ids, size)
-    at = np.cumsum(size) - size
-    for i in np.flatnonzero(ids < 0):
-        code = int(-1 - ids[i])
-        data = chr(BLANK if code == STRANGE else code).encode()
-        out[at[i]:at[i] + size[i]] = pieces.bytes[list(data)]
+    at, code, size = (np.cumsum(size) - size)[signs], -1 - ids[signs], size[signs]
+    code[code == STRANGE] = BLANK
+    for n, lead in ((1, 0), (2, 0xC0), (3, 0xE0), (4, 0xF0)):  # bytes of UTF-8
+        own = size == n
+        for j in range(n):
+            data = code[own] >> 6 * (n - 1 - j)
+            out[at[own] + j] = pieces.bytes[(data & 0x3F) | 0x80 if j else data | lead]
     return out.astype("<u2")
 
 

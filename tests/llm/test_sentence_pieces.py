@@ -132,3 +132,19 @@ def test_round_trip_and_odd_tables(spark, pieces):
     first = sp.sample_segmentations(df).select("doc_id", "sample", F.md5("ids"), "perturbed")
     assert sorted(map(str, again.collect())) == sorted(map(str, first.collect()))
     assert sp.sample_segmentations(df.limit(0)).collect() == []
+
+
+def test_units_met_before_keep_their_lattices(pieces, monkeypatch):
+    """A chunk makes lattices of its new units only, and samples are the same where none are kept."""
+    made, plain = [], sp._Lattice
+    monkeypatch.setattr(sp, "_Lattice", lambda p, codes, starts, lengths: made.append(len(starts)) or plain(p, codes, starts, lengths))
+    fresh, texts = sp.Pieces(sp.model_path()), ["the end of the line", "é the line\x00"]
+    first = drawn(fresh, texts, 3)
+    assert sum(made) == len({"▁the", "▁end", "▁of", "▁line", "▁é"}) + 1  # and the NUL
+    assert drawn(fresh, texts, 3) == first and len(made) == 1
+    drawn(fresh, ["the new end"], 3)
+    assert made[1:] == [1]
+    monkeypatch.setattr(sp, "KEPT", 0)
+    for _ in range(2):
+        assert drawn(fresh, texts, 3) == first
+    assert made[-1] == made[0]
