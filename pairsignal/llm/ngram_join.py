@@ -202,9 +202,13 @@ def linked_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
     )
     summaries = stored(whole.drop("tokens"))
     classes = stored(summaries.filter("n > 0").groupBy("s1", "s2").agg(F.min("uid").alias("node")))
-    firsts = whole.filter("n > 0").withColumnRenamed("uid", "node").join(classes.select("node"), "node")
-    first_prefixes = stored(_prefixes(firsts.select("node", "n", "ordered", "tokens"), percent))
-    deleted(whole)  # the largest table, and read no more
+    # Read three times below; the sets, the largest table, are shuffled to their classes once.
+    firsts = stored(
+        whole.filter("n > 0").select(F.col("uid").alias("node"), "n", "ordered", "tokens").join(classes.select("node"), "node")
+    )
+    deleted(whole)
+    first_prefixes = stored(_prefixes(firsts, percent))
+    deleted(firsts)
     wanted = stored(_meeting(first_prefixes, percent).join(_row_keys(summaries), "node"))
     deleted(first_prefixes)
     sets = _member_sets(docs, wanted.filter("copies = 1"), width)

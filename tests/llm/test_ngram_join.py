@@ -88,3 +88,16 @@ def test_odd_tables(spark):
     kept = ngram_join.stage(spark, frame(spark, texts, ids), "")
     assert kept.columns == ["doc_id", "text", "node", "n"]
     assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(3, ""), (3, ""), (5, "a b c d e")]
+
+
+def test_sets_are_stored_before_their_prefixes_are_made(spark, monkeypatch):
+    """Prefixes read the sets more than once; a join below would shuffle them each time."""
+    plans, plain = [], ngram_join._prefixes
+
+    def noted(sets, percent):
+        plans.append(sets._jdf.queryExecution().executedPlan().toString())
+        return plain(sets, percent)
+
+    monkeypatch.setattr(ngram_join, "_prefixes", noted)
+    assert ngram_join.linked_documents(frame(spark, corpus(3))).count() == len(corpus(3))
+    assert len(plans) == 2 and not any("Join" in p or "Exchange" in p for p in plans)
