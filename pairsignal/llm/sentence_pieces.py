@@ -15,7 +15,7 @@ the inclusion score log P(included) = log(1 - exp(-exp(log p - kappa))).
 
 No piece crosses a break before a blank or beside a sign outside the vocabulary, so a lattice is a
 chain of units, and equal units share one; a worker keeps the lattices of the units it has met, up to
-KEPT nodes of them, from batch to batch.  Lattices, log sums, samples and priorities of all texts of a
+KEPT nodes of them and then those met most often, from batch to batch.  Lattices, log sums, samples and priorities of all texts of a
 batch are computed side by side in numpy.  All random numbers are hashes of (seed,
 row key, sample, place): a row's samples do not depend on its neighbours, its partition or a retry.
 
@@ -46,8 +46,10 @@ SHARPNESS = 1.0
 SEED = 20240501
 BLANK = 0x2581
 STRANGE = 0x110000  # stands for a literal piece sign
-CHUNK = 1 << 17  # characters whose lattices are made at once; a longer text is a chunk of its own
-KEPT = 1 << 20  # nodes of lattices that are kept for the next chunk
+CHUNK = 1 << 18  # characters whose lattices are made at once; a longer text is a chunk of its own
+KEPT = 1 << 21  # nodes of lattices that are kept for the next chunk
+BLOCK = 64  # pieces of each path whose sets are looked at together; twice as many each time
+REACH = 38.0  # a Gumbel of a 53-bit uniform is less than log(2^53), 36.8, above its location
 _INVERSE = np.uint64(pow(int(_FACTOR), -1, 2**64))
 
 _OPEN: dict = {}
@@ -102,23 +104,32 @@ class Pieces:
             # prefix tells so with one look (1: may be a piece, 2: a piece may go on).
             maybe = np.zeros(1 << 18, np.uint8)
             maybe[_slot(hashes)] = 1
-            self.table[length] = hashes[order], np.array([i for _, i in rows])[order], maybe
+            # Hashes with one prefix lie together: the first of them, and how many they are at most.
+            where = np.zeros(1 << 18, np.int32)
+            where[_slot(hashes[order[::-1]])] = np.arange(len(order))[::-1]
+            most = int(np.bincount(_slot(hashes)).max())
+            self.table[length] = hashes[order], np.array([i for _, i in rows])[order], maybe, where, most
         for length in range(1, max(self.table, default=0)):
             if length not in self.table:
-                self.table[length] = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(1 << 18, np.uint8)
+                self.table[length] = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(1 << 18, np.uint8), None, 0
             longer = [c[:length] for n, rows in by_length.items() if n > length for c, _ in rows]
             powers = np.cumprod(np.full(length, _FACTOR))
             self.table[length][2][_slot((mixed(np.array(longer)) * powers).sum(axis=1))] |= 2
         self.kept = _Lattices(self)
-        self.lengths = np.array([len(p) for p in parts])
-        self.starts = np.cumsum(self.lengths) - self.lengths
-        self.data = np.frombuffer(b"".join(parts), np.uint8)
+        self.parts = pa.array(parts, pa.large_binary())
 
     def decoded(self, ids: np.ndarray) -> bytes:
-        n = self.lengths[ids]
-        ends = np.cumsum(n)
-        at = np.repeat(self.starts[ids] - ends + n, n) + np.arange(int(ends[-1]) if len(ends) else 0)
-        return self.data[at].tobytes()[1:]  # without the blank in front
+        return self.decoded_all([ids])[0]
+
+    def decoded_all(self, rows: list[np.ndarray]) -> list[bytes]:
+        """The text of each row of ids, without the blank in front."""
+        if not sum(map(len, rows)):
+            return [b""] * len(rows)
+        _, offsets, data = self.parts.take(pa.array(np.concatenate(rows))).buffers()
+        cuts = np.cumsum([0, *map(len, rows)])
+        ends = np.frombuffer(offsets, np.int64)[cuts].tolist()
+        data = memoryview(data)
+        return [data[a + 1:b].tobytes() if b > a else b"" for a, b in zip(ends, ends[1:])]
 
 
 def _slot(hashes: np.ndarray) -> np.ndarray:
@@ -135,7 +146,7 @@ class _Grown:
     """An array that grows at its end; what ``all`` gave before stays as it was."""
 
     def __init__(self, kind: type):
-        self.room, self.n = np.empty(1 << 12, kind), 0
+        self.room, self.n = np.empty(1 << 21, kind), 0  # memory that is not written to is not taken
 
     def add(self, values: np.ndarray) -> None:
         stop = self.n + len(values)
@@ -150,20 +161,44 @@ class _Grown:
         return self.room[:self.n]
 
 
+def ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first[i], first[i] + 1, ... of each of the ranges, one after the other."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
 class _Lattices:
     """Lattices of units, found again by the hash of their characters."""
 
-    # first edge of each node (and their number), first node of each unit, and of each edge its nodes,
-    # piece, bytes of an unknown sign, log probability, running sum and whether its node has no other.
-    KINDS = {"first": np.int64, "node0": np.int64, "src": np.int32, "dst": np.int32, "ids": np.int32,
-             "size": np.int8, "logp": np.float64, "upto": np.float64, "single": bool}
+    # first edge of each node (and their number), first node of each unit, and of each edge its
+    # characters, piece, log probability (0 if its node has no other) and running sum.
+    KINDS = {"first": np.int64, "node0": np.int64, "width": np.int16, "ids": np.int32, "logp": np.float64, "upto": np.float64}
+    EDGES = ("width", "ids", "logp", "upto")
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
         self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.used = np.zeros(0, np.int32)  # chunks that held a unit, in the order of the hashes
         self.grown = {c: _Grown(kind) for c, kind in self.KINDS.items()}
         self.grown["first"].add(np.zeros(1, np.int64))
 
+    def cut(self, most: int) -> _Lattices:
+        """The lattices of the units met most often, with ``most`` nodes at most."""
+        old = {c: grown.all() for c, grown in self.grown.items()}
+        nodes = np.diff(old["node0"], append=len(old["first"]) - 1)[self.numbers]
+        order = np.argsort(-self.used, kind="stable")
+        kept = np.sort(order[np.cumsum(nodes[order]) <= most])
+        out, number, nodes = _Lattices(self.pieces), self.numbers[kept], nodes[kept]
+        node0 = old["node0"][number]
+        low, high = old["first"][node0], old["first"][node0 + nodes]
+        edges, own = ranges(low, high - low), ranges(node0, nodes)
+        out.hashes, out.numbers, out.used = self.hashes[kept], np.arange(len(kept)), self.used[kept] // 2
+        moved = np.cumsum(nodes) - nodes
+        out.grown["node0"].add(moved)
+        out.grown["first"].add(np.cumsum(np.diff(old["first"])[own]))
+        for c in self.EDGES:
+            out.grown[c].add(old[c][edges])
+        return out
+
     def numbers_of(self, hashes: np.ndarray, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Number of each of some different units, after lattices of the new ones are made."""
         at = np.searchsorted(self.hashes, hashes)
@@ -175,18 +210,17 @@ class _Lattices:
             self._made(codes, starts[new], lengths[new])
             self.hashes = np.insert(self.hashes, at[new], hashes[new])
             self.numbers = np.insert(self.numbers, at[new], np.arange(count, self.grown["node0"].n))
+            self.used = np.insert(self.used, at[new], 0)
             at = np.searchsorted(self.hashes, hashes)
+        self.used[at] += 1
         return self.numbers[at]
 
     def _made(self, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
         made = _Lattice(self.pieces, codes, starts, lengths)
-        nodes, edges = self.grown["first"].n - 1, self.grown["src"].n
+        nodes, edges = self.grown["first"].n - 1, self.grown["ids"].n
         self.grown["first"].add(made.first[1:] + edges)
-        for c in ("node0", "src", "dst"):
-            self.grown[c].add(getattr(made, c) + nodes)
-        degree = np.diff(made.first)
-        made.single = np.repeat(degree == 1, degree)
-        for c in ("ids", "size", "logp", "upto", "single"):
+        self.grown["node0"].add(made.node0 + nodes)
+        for c in self.EDGES:
             self.grown[c].add(getattr(made, c))
 
 
@@ -209,13 +243,18 @@ class _Chunk:
         hashes = mixed(np.add.reduceat(mixed(codes.astype(np.uint64)) * powers[place], self.unit))
         hashes, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
         if pieces.kept.grown["first"].n > KEPT:
-            pieces.kept = _Lattices(pieces)
+            pieces.kept = pieces.kept.cut(KEPT // 2)
         number = pieces.kept.numbers_of(hashes, codes, self.unit[sample], self.length[sample])
         for c, grown in pieces.kept.grown.items():
             setattr(self, c, grown.all())
         self.base = self.node0[number[which]]  # first node of each unit's lattice
         self.end = self.base + self.length
 
+    def choice(self, edge: int) -> np.ndarray:
+        """The edges of the node that this one leaves."""
+        after = int(np.searchsorted(self.first, edge, side="right"))
+        return np.arange(self.first[after - 1], self.first[after])
+
     def draw(self, path: np.ndarray, place: np.ndarray, node: np.ndarray, end: np.ndarray, seeds: np.ndarray) -> None:
         """Fills ``path`` (edge by place of its first character) from the given places to the ends
         of their units, with edges drawn by probability."""
@@ -227,10 +266,10 @@ class _Chunk:
                 edge[more] += 1
                 more = more[u[more] > self.upto[edge[more]]]
             path[place] = edge
-            step = self.dst[edge] - node
-            place, node = place + step, node + step
-            on = node < end
-            place, node, end, seeds = place[on], node[on], end[on], seeds[on]
+            step = self.width[edge]
+            node = node + step
+            on = np.flatnonzero(node < end)
+            place, node, end, seeds = place[on] + step[on], node[on], end[on], seeds[on]
 
 
 class _Lattice:
@@ -247,43 +286,39 @@ class _Lattice:
         powers = np.cumprod(np.full(len(codes) + 1, _FACTOR)) * _INVERSE
         back = np.cumprod(np.full(len(codes) + 1, _INVERSE)) * _FACTOR * _FACTOR
         sums = np.concatenate([[np.uint64(0)], np.cumsum(mixed(codes.astype(np.uint64)) * powers[:-1])])
-        src, dst, ids = [], [], []
+        found = []
         at = np.arange(len(codes))  # where a piece of this length may begin
-        for length, (known, piece, maybe) in sorted(p.table.items()):
+        for length, (known, piece, maybe, where, most) in sorted(p.table.items()):
             h = (sums[at + length] - sums[at]) * back[at]
-            said = maybe[_slot(h)]
+            slot = _slot(h)
+            said = maybe[slot]
             some = np.flatnonzero(said & 1)
-            own, h = source[at[some]], h[some]
             if len(some):
-                i = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                own, h, i = source[at[some]], h[some], where[slot[some]]
+                for _ in range(most - 1):
+                    i += (known[i] < h) & (i < len(known) - 1)
                 hit = known[i] == h
-                src.append(own[hit])
-                dst.append(own[hit] + length)
-                ids.append(piece[i[hit]])
+                found.append((own[hit], length, piece[i[hit]]))
             at = at[said >= 2]
             at = at[left[at] > length]
-        src, dst, ids = src[::-1], dst[::-1], ids[::-1]
         strange = np.flatnonzero(~p.known[codes])
-        src.append(source[strange])
-        dst.append(source[strange] + 1)
-        ids.append(-1 - codes[strange].astype(np.int64))
+        found = [*found[::-1], (source[strange], 1, -1 - codes[strange])]
         # Edges of a node side by side, the longest piece first: the lists are in that order.
         degree = np.zeros(nodes, np.int64)
-        for own in src:
+        for own, _, _ in found:
             degree[own] += 1
         self.first = np.concatenate([[0], np.cumsum(degree)])
         free = self.first[:-1].copy()
-        slot = []
-        for own in src:
-            slot.append(free[own])
+        self.ids, self.width = np.empty(self.first[-1], np.int32), np.empty(self.first[-1], np.int16)
+        for own, length, ids in found:
+            slot = free[own]
             free[own] += 1
-        slot = np.concatenate(slot)
-        self.src, self.dst, self.ids = np.empty(len(slot), np.int64), np.empty(len(slot), np.int64), np.empty(len(slot), np.int64)
-        self.src[slot], self.dst[slot], self.ids[slot] = np.concatenate(src), np.concatenate(dst), np.concatenate(ids)
-        code = np.where(self.ids < 0, -1 - self.ids, 0)
-        code = np.where(code == STRANGE, BLANK, code)
-        self.size = np.where(self.ids < 0, 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF), 1)
-        weight = np.where(self.ids < 0, self.size * p.byte_weight, p.weight[np.maximum(self.ids, 0)])
+            self.ids[slot], self.width[slot] = ids, length
+        src = np.repeat(np.arange(nodes), degree)
+        dst = src + self.width
+        weight = p.weight[np.maximum(self.ids, 0)]
+        signs = np.flatnonzero(self.ids < 0)
+        weight[signs] = _sizes(self.ids[signs]) * p.byte_weight
         # Log sums to the end, for all nodes at one distance from their end at once.
         total = np.zeros(nodes)
         first, last = self.first[source], self.first[source + 1]
@@ -296,11 +331,11 @@ class _Lattice:
             count = last[own] - first[own]
             ends = np.cumsum(count)
             e = np.repeat(first[own] - ends + count, count) + np.arange(int(ends[-1]))
-            value = weight[e] + total[self.dst[e]]
+            value = weight[e] + total[dst[e]]
             cut = ends - count
             most = np.maximum.reduceat(value, cut)
             total[source[own]] = most + np.log(np.add.reduceat(np.exp(value - np.repeat(most, count)), cut))
-        self.logp = np.minimum(weight + total[self.dst] - total[self.src], 0.0)
+        self.logp = np.minimum(weight + total[dst] - total[src], 0.0)
         # Running sums within each node, edge by edge, so that no other text's lattice rounds them.
         self.upto = np.exp(self.logp)
         at, last = self.first[:-1], self.first[1:] - 1
@@ -314,6 +349,16 @@ class _Lattice:
         self.upto[ends] = 2.0  # the last edge takes the rest
 
 
+def _sizes(ids: np.ndarray) -> np.ndarray:
+    """Ids that each of them becomes: the bytes of a sign without a piece, else one."""
+    size = np.ones(len(ids), np.int64)
+    signs = np.flatnonzero(ids < 0)
+    code = -1 - ids[signs]
+    code[code == STRANGE] = BLANK
+    size[signs] += (code > 0x7F).astype(np.int64) + (code > 0x7FF) + (code > 0xFFFF)
+    return size
+
+
 def _uniform(seeds: np.ndarray, place: np.ndarray) -> np.ndarray:
     """In (0, 1), by hash."""
     bits = mixed(seeds + place.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
@@ -327,50 +372,75 @@ def _cut_gumbel(location: np.ndarray, most: np.ndarray, u: np.ndarray) -> np.nda
 
 
 class _Family:
-    """The sets along one path: texts, places and priorities, and what branches already took."""
+    """The sets along one path that can be among the ``need`` best: places and priorities by text.
+
+    A set's Gumbel with the uniform u is at most its log probability less log(1 - u), and that is less
+    than REACH above it.  The log probability falls along the path, so with its value before a block of
+    pieces, sets of the block that cannot reach the best ones so far are left out by u alone, and all
+    that follow where no u would do."""
 
-    def __init__(self, chunk, starts, ends, text_of, seeds, path, texts, branch, taken, perturbed):
+    def __init__(self, chunk, starts, ends, seeds, path, texts, branch, taken, perturbed, need):
         docs = len(starts)
         at = np.flatnonzero(path >= 0)
         edge = path[at]
         lp = chunk.logp[edge]
-        whose = text_of[at]
         first = np.searchsorted(at, starts[texts])
         size = np.searchsorted(at, ends[texts]) - first
-        before = np.empty(len(lp))  # sums within each text alone, so that no neighbour rounds them
-        for a, b in zip(first.tolist(), (first + size).tolist()):
-            before[a] = 0.0
-            np.cumsum(lp[a:b - 1], out=before[a + 1:b])
-        # Sets lie from the branch on, where another edge leaves the same node.
-        live = np.flatnonzero((at >= branch[whose]) & ~chunk.single[edge])
-        location = np.full(len(lp), -np.inf)
-        with np.errstate(divide="ignore"):
-            location[live] = before[live] + np.log1p(-np.minimum(np.exp(lp[live]), 1.0))
-        for t, gone in taken.items():  # at a branch, edges taken before are left out as well
-            i = np.searchsorted(at, branch[t])
-            rest = 1 - np.exp(chunk.logp[[*gone, path[branch[t]]]]).sum()
-            node = chunk.src[path[branch[t]]]
-            if len(gone) + 1 >= chunk.first[node + 1] - chunk.first[node] or rest <= 0:
-                location[i] = -np.inf
-            else:
-                location[i] = before[i] + np.log(rest)
-        self.path, self.texts, self.branch, self.taken = path, texts, branch, taken
-        self.docs, self.text_of = docs, text_of
-        self.at, self.first, self.size = at, first, size
-        self.priority = np.full(len(lp), -np.inf)
-        whose, place = whose[live], at[live]
-        self.priority[live] = _cut_gumbel(location[live], perturbed[whose], _uniform(seeds[whose], place))
+        self.path, self.branch, self.taken, self.at = path, branch, taken, at
         self.logp = np.zeros(docs)
         self.logp[texts] = np.add.reduceat(lp, first)
-
-    def best(self):
-        """(priority, index into ``at``) of the best set for each text of the chunk."""
-        top = np.full(self.docs, -np.inf)
-        top[self.texts] = np.maximum.reduceat(self.priority, self.first)
-        hit = np.flatnonzero(self.priority == np.repeat(top[self.texts], self.size))
-        index = np.zeros(self.docs, np.int64)
-        index[self.text_of[self.at[hit[::-1]]]] = hit[::-1]
-        return top, index
+        # At a branch, edges taken before are left out as well: the log of what they leave.
+        again, left = np.zeros(docs, bool), np.zeros(docs)
+        for t, gone in taken.items():
+            rest = 1 - np.exp(chunk.logp[[*gone, path[branch[t]]]]).sum()
+            again[t] = True
+            left[t] = -np.inf if len(gone) + 1 >= len(chunk.choice(gone[0])) or rest <= 0 else np.log(rest)
+        found, rows, low, width = [], np.arange(len(texts)), 0, BLOCK
+        best, total = np.full((len(texts), need), -np.inf), np.zeros(len(texts))
+        while len(rows):
+            width = min(width, int(size[rows].max()) - low)
+            whose, step = texts[rows], np.arange(low, low + width)
+            spot = np.minimum(first[rows][:, None] + step, len(at) - 1)
+            place = at[spot]
+            u = _uniform(seeds[whose][:, None], place)
+            # Sets lie from the branch on, where another edge leaves the same node.
+            with np.errstate(over="ignore"):
+                near = 1 - u <= 1.0001 * np.exp(total[rows] - best[rows, 0])[:, None]
+            r, c = np.nonzero(near & (step < size[rows][:, None]) & (place >= branch[whose][:, None]))
+            live = lp[spot[r, c]] < 0
+            r, c = r[live], c[live]
+            # Sums within each text alone, so that no neighbour rounds them.
+            sums = np.cumsum(np.concatenate([total[rows][:, None], lp[spot]], axis=1), axis=1)
+            i, whose, before = spot[r, c], whose[r], sums[r, c]
+            with np.errstate(divide="ignore"):
+                location = before + np.log1p(-np.minimum(np.exp(lp[i]), 1.0))
+            turned = np.flatnonzero(again[whose] & (at[i] == branch[whose]))
+            location[turned] = before[turned] + left[whose[turned]]
+            priority = _cut_gumbel(location, perturbed[whose], u[r, c])
+            found.append((whose, i, priority))
+            tops = np.full(u.shape, -np.inf)
+            tops[r, c] = priority
+            best[rows] = np.sort(np.concatenate([best[rows], tops], axis=1), axis=1)[:, -need:]
+            total[rows] = sums[:, -1]
+            low, width = low + width, 2 * width
+            rows = rows[(size[rows] > low) & (total[rows] + REACH >= best[rows, 0])]
+        whose, i, priority = (np.concatenate(c) for c in zip(*found))
+        order = np.lexsort((i, -priority, whose))
+        order = order[priority[order] > -np.inf]
+        self.index, self.priority, whose = i[order], priority[order], whose[order]
+        self.next, self.stop = np.searchsorted(whose, np.arange(docs)), np.searchsorted(whose, np.arange(1, docs + 1))
+
+    def best(self) -> np.ndarray:
+        """Priority of the best set for each text of the chunk."""
+        top = np.full(len(self.next), -np.inf)
+        some = self.next < self.stop
+        top[some] = self.priority[self.next[some]]
+        return top
+
+    def take(self, text: int) -> int:
+        """Place of the text's best set, which is no longer one."""
+        self.next[text] += 1
+        return int(self.at[self.index[self.next[text] - 1]])
 
 
 def sampled(pieces: Pieces, codes: np.ndarray, starts: np.ndarray, seeds: np.ndarray, k: int):
@@ -380,7 +450,6 @@ def sampled(pieces: Pieces, codes: np.ndarray, starts: np.ndarray, seeds: np.nda
     ``starts`` are the places of the texts, none of which is empty; ``seeds`` one number for each."""
     chunk = _Chunk(pieces, codes, starts)
     docs, n = len(starts), len(codes)
-    text_of = np.repeat(np.arange(docs), np.diff(starts, append=n))
     ends = np.append(starts[1:], n)
 
     def stream(number: int) -> np.ndarray:
@@ -412,11 +481,10 @@ def sampled(pieces: Pieces, codes: np.ndarray, starts: np.ndarray, seeds: np.nda
     finish(path, texts, starts, 1)
     u = _uniform(stream(2), starts)
     perturbed = -np.log(-np.log(u))
-    families = [_Family(chunk, starts, ends, text_of, stream(3), path, texts, starts.copy(), {}, perturbed)]
+    families = [_Family(chunk, starts, ends, stream(3), path, texts, starts.copy(), {}, perturbed, k)]
     out = [[texts, path, families[0].logp, perturbed.copy()]]
     for s in range(1, k + 1):
-        tops, at = zip(*(f.best() for f in families))
-        tops = np.array(tops)
+        tops = np.array([f.best() for f in families])
         which = tops.argmax(axis=0)
         best = tops[which, np.arange(docs)]
         texts = np.flatnonzero(best > -np.inf)
@@ -428,12 +496,9 @@ def sampled(pieces: Pieces, codes: np.ndarray, starts: np.ndarray, seeds: np.nda
         own = _uniform(stream(10 * s), starts)
         for i, t in enumerate(texts.tolist()):
             f = families[which[t]]
-            j = int(at[which[t]][t])
-            place = int(f.at[j])
-            f.priority[j] = -np.inf
+            place = f.take(t)
             gone = [*(f.taken.get(t, []) if place == f.branch[t] else []), int(f.path[place])]
-            node = chunk.src[f.path[place]]
-            choice = np.arange(chunk.first[node], chunk.first[node + 1])
+            choice = chunk.choice(f.path[place])
             for edge in gone:
                 choice = choice[choice != edge]
             share = np.exp(chunk.logp[choice] - chunk.logp[choice].max())
@@ -441,10 +506,10 @@ def sampled(pieces: Pieces, codes: np.ndarray, starts: np.ndarray, seeds: np.nda
             path[starts[t]:place] = f.path[starts[t]:place]
             path[place] = edge
             branch[t], taken[t] = place, gone
-            after[i] = place + chunk.dst[edge] - node
+            after[i] = place + int(chunk.width[edge])
         finish(path, texts, after, 10 * s + 1)
         perturbed = np.where(best > -np.inf, best, 0.0)
-        families.append(_Family(chunk, starts, ends, text_of, stream(10 * s + 2), path, texts, branch, taken, perturbed))
+        families.append(_Family(chunk, starts, ends, stream(10 * s + 2), path, texts, branch, taken, perturbed, k))
         out.append([texts, path, families[-1].logp, best.copy()])
     return chunk, out, kappa
 
@@ -465,10 +530,11 @@ def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def _byte_ids(pieces: Pieces, chunk: _Chunk, edges: np.ndarray) -> np.ndarray:
     """Ids of the edges' pieces, with byte pieces where a sign has no piece."""
-    ids, size = chunk.ids[edges], chunk.size[edges]
+    ids = chunk.ids[edges]
     signs = np.flatnonzero(ids < 0)
     if not len(signs):
         return ids.astype("<u2")
+    size = _sizes(ids)
     out = np.repeat(ids, size)
     at, code, size = (np.cumsum(size) - size)[signs], -1 - ids[signs], size[signs]
     code[code == STRANGE] = BLANK
@@ -499,9 +565,10 @@ def _sampler(path: str, k: int, seed: int, decoded: bool = False):
             at = np.flatnonzero(path_ >= 0)
             edges = path_[at]
             ids = _byte_ids(pieces, chunk, edges)
-            ends = np.concatenate([[0], np.cumsum(chunk.size[edges])])
-            low = ends[np.searchsorted(at, starts[own])]
-            high = ends[np.searchsorted(at, np.append(starts[1:], len(codes))[own])]
+            low, high = np.searchsorted(at, starts[own]), np.searchsorted(at, np.append(starts[1:], len(codes))[own])
+            if len(ids) > len(edges):
+                ends = np.concatenate([[0], np.cumsum(_sizes(chunk.ids[edges]))])
+                low, high = ends[low], ends[high]
             for t, a, b in zip(own.tolist(), low.tolist(), high.tolist()):
                 yield full[t], s + 1, ids[a:b].tobytes(), b - a, float(logp[t]), float(perturbed[t]), float(inclusion[t])
 
@@ -522,7 +589,8 @@ def _sampler(path: str, k: int, seed: int, decoded: bool = False):
                 columns = [ids, *(pa.array(c, kind) for c, kind in zip(found[1:], kinds))]
                 names = ["doc_id", "sample", "ids", "n_pieces", "log_prob", "perturbed", "log_inclusion"]
                 if decoded:
-                    columns.append(pa.array([pieces.decoded(np.frombuffer(x, "<u2")).decode() for x in found[2]], pa.string()))
+                    said = pieces.decoded_all([np.frombuffer(x, "<u2") for x in found[2]])
+                    columns.append(pa.array([x.decode() for x in said], pa.string()))
                     names.append("text")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
                 row = stop

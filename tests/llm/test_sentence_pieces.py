@@ -148,3 +148,33 @@ def test_units_met_before_keep_their_lattices(pieces, monkeypatch):
     for _ in range(2):
         assert drawn(fresh, texts, 3) == first
     assert made[-1] == made[0]
+
+
+def test_sets_out_of_reach_are_left_out(pieces, monkeypatch):
+    """Few sets of a long text can be among its best; looking at more of them gives the same samples."""
+    seen, plain = [], sp._cut_gumbel
+    monkeypatch.setattr(sp, "_cut_gumbel", lambda location, most, u: seen.append(len(u)) or plain(location, most, u))
+    texts = ["the end of the line " * 1000, "on a", "the other end " * 30]
+    first = drawn(pieces, texts, 3)
+    assert sum(seen) < sum(len(f[0]) for found in first for f in found) / 5
+    monkeypatch.setattr(sp, "REACH", math.inf)
+    for block in (1, 7, 10**6):
+        monkeypatch.setattr(sp, "BLOCK", block)
+        assert drawn(pieces, texts, 3) == first
+
+
+def test_units_met_often_outlast_others(pieces, monkeypatch):
+    """A full store of lattices keeps the units that most chunks held, and they give the same samples."""
+    made, plain = [], sp._Lattice
+    monkeypatch.setattr(sp, "_Lattice", lambda p, codes, starts, lengths: made.append(len(starts)) or plain(p, codes, starts, lengths))
+    fresh = sp.Pieces(sp.model_path())
+    want = drawn(fresh, ["the end of the line é"], 3)
+    for i in range(3):
+        drawn(fresh, [f"the end of the line é {'abcxyz' * 3}{i}"], 3)
+    nodes = fresh.kept.grown["first"].n - 1
+    monkeypatch.setattr(sp, "KEPT", 2 * sum(len(w) + 1 for w in ("▁the", "▁end", "▁of", "▁line", "▁é")))
+    assert nodes > sp.KEPT
+    del made[:]
+    assert drawn(fresh, ["the end of the line é"], 3) == want
+    assert not made and fresh.kept.grown["first"].n - 1 <= sp.KEPT // 2
+    assert len(fresh.kept.numbers) == len(fresh.kept.hashes) == fresh.kept.grown["node0"].n == 5
